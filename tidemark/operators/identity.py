@@ -82,12 +82,21 @@ def require_unique(records: DataFrame, key: str = "id_hash") -> DataFrame:
     return records.filter(failing.cast("boolean").isNull())
 
 
-def one_per_key(records: DataFrame, order: Sequence[str], key: str = "id_hash") -> DataFrame:
-    """First record of each key in ``order``, so a snapshot has one row per key."""
+def one_per_key(records: DataFrame, order: Sequence[str], key: str = "id_hash",
+                repeated: DataFrame | None = None) -> DataFrame:
+    """First record of each key in ``order``, so a snapshot has one row per key.
+
+    ``repeated`` (``repeated_keys`` of the same records, best read from a table) keeps all
+    other rows out of the shuffle: only records of repeated keys are grouped.
+    """
     rest = [c for c in records.columns if c != key]
-    return (
-        records.groupBy(key)
+    many = records if repeated is None else records.join(repeated, key, "left_semi")
+    first = (
+        many.groupBy(key)
         .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("r"))
         .select(key, *[F.col(f"r.{c}").alias(c) for c in rest])
         .select(*records.columns)
     )
+    if repeated is None:
+        return first
+    return records.join(repeated, key, "left_anti").select(*records.columns).unionByName(first)
