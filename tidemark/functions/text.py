@@ -60,10 +60,13 @@ def content_checksum(fields: Sequence[str]) -> Column:
 
 
 def license_line(title: Column, date: Column, url: Column) -> Column:
-    template = LICENSE_LINE.replace("%", "%%")
-    for slot in ("{title}", "{date}", "{url}"):
-        template = template.replace(slot, "%s")
-    return F.format_string(template, title, date.cast("string"), url)
+    """Licence text of one record; null where a part of it is null."""
+    slots = {"{title}": title, "{date}": date.cast("string"), "{url}": url}
+    pieces, rest = [], LICENSE_LINE
+    for slot, value in slots.items():
+        before, _, rest = rest.partition(slot)
+        pieces += [F.lit(before), value]
+    return F.concat(*pieces, F.lit(rest))
 
 
 def list_columns(df: DataFrame) -> list[str]:

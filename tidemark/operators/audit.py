@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.skew import attach_per_key
@@ -55,13 +55,12 @@ def invariants(consolidated: DataFrame, names: VersionColumns = VERSION_COLUMNS)
     ])))
 
 
-def reconcile(consolidated: DataFrame, expected: int,
+def reconcile(consolidated: DataFrame, expected: int | Column,
               tolerance: int = RECONCILE_TOLERANCE) -> DataFrame:
     """Active rows against an outside count."""
     return consolidated.agg(F.count_if(~F.col("deleted")).alias("active")).select(
-        "active", F.lit(expected).cast("long").alias("expected"),
-        (F.abs(F.col("active") - F.lit(expected)) <= tolerance).alias("agrees"),
-    )
+        "active", F.lit(expected).cast("long").alias("expected")
+    ).withColumn("agrees", F.abs(F.col("active") - F.col("expected")) <= tolerance)
 
 
 def dead_links(consolidated: DataFrame, url_status: DataFrame) -> DataFrame:
