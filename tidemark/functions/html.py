@@ -10,32 +10,30 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 _STEP, _PART = "\x1e", "\x1f"
-_ANY = f"[^{_STEP}{_PART}]*"
+_ANY = r"[^\x1e\x1f]*"
 
 
-def step(tag: str, cls: str | None = None, token: str | None = None,
+def step(tag: str, cls: str | None = None, tokens: Sequence[str] = (),
          title: str | None = None, nth: int | None = None) -> str:
-    """One level of a path: exact class, one class token, title, position among same tags."""
-    klass = _ANY if cls is None else re.escape(cls)
-    if token is not None:
-        klass = rf"(?:{_ANY}\s)?{re.escape(token)}(?:\s{_ANY})?"
-    parts = (
+    """One level of a path: exact class, class tokens, title, position among same tags."""
+    wanted = "".join(
+        rf"(?=(?:{_ANY}\s)?{re.escape(t)}(?:\s{_ANY})?{_PART})" for t in tokens)
+    return _STEP + _PART.join((
         re.escape(tag),
         r"\d+" if nth is None else str(nth),
-        klass,
+        wanted + (_ANY if cls is None else re.escape(cls)),
         _ANY if title is None else re.escape(title),
-    )
-    return _STEP + _PART.join(parts)
+    ))
 
 
-ANYWHERE = f"(?:{_STEP}[^{_STEP}]*)*"
+ANYWHERE = r"(?:\x1e[^\x1e]*)*"
 
 
 @dataclass(frozen=True)
@@ -65,117 +63,178 @@ _ARROW_PIECES = pa.list_(pa.struct([
 ]))
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_RAW = {t: re.compile(rf"(?=</{t}[\s>])|\Z", re.I) for t in ("script", "style")}
 _BLOCK = frozenset(
     "address article aside blockquote dd div dl dt fieldset figure footer form h1 h2 h3 h4 "
     "h5 h6 header hr li main nav ol p pre section table ul".split()
 )
 # An opening tag ends an open element of the first set, unless one of the second is nearer.
-_ENDS = {tag: (frozenset({"p"}), frozenset({"td", "th", "button", "body"})) for tag in _BLOCK}
-_ENDS["li"] = (frozenset({"li", "p"}), frozenset({"ul", "ol"}))
-_ENDS["dt"] = _ENDS["dd"] = (frozenset({"dt", "dd"}), frozenset({"dl"}))
+_ENDS = {tag: (("p",), frozenset({"td", "th", "button"})) for tag in _BLOCK}
+_ENDS["li"] = (("li", "p"), frozenset({"ul", "ol"}))
+_ENDS["dt"] = _ENDS["dd"] = (("dt", "dd"), frozenset({"dl"}))
+
+_ATTRIBUTE = r"""([^\s/>=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++)?)?"""
+_ATTRIBUTES = re.compile(_ATTRIBUTE)
+_INSIDE = _ATTRIBUTE.replace("([^", "(?:[^").replace('("[', '(?:"[')
+_TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
+    rf"|<([a-zA-Z][^\s/>]*)((?:[\s/]++|{_INSIDE}|=)*+)>", re.S)
+_NONE: dict[str, str] = {}
+_SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/$""")
+
+
+def _attributes(text: str) -> dict[str, str]:
+    found = {}
+    for name, value in _ATTRIBUTES.findall(text):
+        if value[:1] in ('"', "'") and len(value) > 1 and value[-1] == value[0]:
+            value = value[1:-1]
+        found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return found
+
+
+class _Element:
+    __slots__ = ("tag", "path", "counts", "hits", "texts")
+
+    def __init__(self, tag, path):
+        self.tag, self.path = tag, path
+        self.counts = None   # children seen, per tag
+        self.hits = ()    # (rule, number, piece to fill at the end, start)
+        self.texts = 0    # how many of them take text
+
 
+class _Reader:
+    """Walks the tags of a page with a stack of open elements; broken markup is no error."""
 
-class _Reader(HTMLParser):
     def __init__(self, rules: Sequence[Rule]):
-        super().__init__(convert_charrefs=True)
-        self.rules = rules
-        self.by_tag: dict[str, list] = {}
-        for rule in rules:
-            self.by_tag.setdefault(rule.tag, []).append((rule, re.compile(rule.path)))
+        self.names = [rule.name for rule in rules]
+        self.tags = {rule.tag for rule in rules}
+        self.rules = [(rule, re.compile(rule.path[rule.path.rindex(_STEP):]),
+                       re.compile(rule.path)) for rule in rules]
+        # Rules whose last step fits a kind of element; few kinds make up most of a site.
+        self.fitting: dict[tuple, list] = {}
 
     def read(self, html: str | None) -> dict[str, list[dict]]:
-        self.reset()
-        self.html = html or ""
-        self.line_at = [0] + [m.end() for m in re.finditer("\n", self.html)]
-        # open elements: tag, path, counts of child tags, [(rule, number, html slot, start)]
-        self.open = [("", "", {}, [])]
-        self.found = {rule.name: [] for rule in self.rules}
-        self.seen = dict.fromkeys(self.found, 0)
-        self.text, self.pos = [], 0
-        self.feed(self.html)
-        self.close()
-        self._close_to(1, len(self.html))
+        self.html = html = html or ""
+        self.open = [_Element("", "")]
+        self.depths: dict[str, int] = {}   # open elements per tag
+        self.found = {name: [] for name in self.names}
+        self.seen = dict.fromkeys(self.names, 0)
+        self.pos = self.texts = at = 0
+        while token := _TOKEN.search(html, at):
+            if self.texts and token.start() > at:
+                self._text(html[at:token.start()])
+            ended, started, attributes = token.groups()
+            at = token.end()
+            if started:
+                tag = started.lower()
+                self._start(tag, attributes, token.start(), at)
+                if tag in _RAW:
+                    at = _RAW[tag].search(html, at).start()
+            elif ended:
+                self._end(ended.lower(), token.start(), at)
+        if self.texts and at < len(html):
+            self._text(html[at:])
+        self._close_to(1, len(html))
         return self.found
 
     def _add(self, rule: Rule, number: int, value: str | None) -> dict:
         scope = None
         if rule.scope:
-            for _, _, _, hits in reversed(self.open):
-                scope = next((n for r, n, _, _ in hits if r.name == rule.scope), None)
-                if scope is not None:
-                    break
+            scope = next((n for element in reversed(self.open) for r, n, _, _ in element.hits
+                          if r.name == rule.scope), None)
         piece = {"nth": number, "scope": scope, "pos": self.pos, "value": value}
         self.pos += 1
         self.found[rule.name].append(piece)
         return piece
 
-    def _flush(self) -> None:
-        if not self.text:
-            return
-        text, self.text = "".join(self.text), []
-        last = len(self.open) - 1
-        for level, (_, _, _, hits) in enumerate(self.open):
-            for rule, number, _, _ in hits:
-                if rule.take == "all_text" or (rule.take == "text" and level == last):
-                    self._add(rule, number, text)
+    def _text(self, text: str) -> None:
+        if "&" in text:
+            text = unescape(text)
+        top = self.open[-1]
+        for element in self.open:
+            if element.texts:
+                for rule, number, _, _ in element.hits:
+                    if rule.take == "all_text" or (rule.take == "text" and element is top):
+                        self._add(rule, number, text)
 
     def _close_to(self, depth: int, end: int) -> None:
-        self._flush()
         while len(self.open) > depth:
-            for _, _, slot, start in self.open.pop()[3]:
+            element = self.open.pop()
+            self.depths[element.tag] -= 1
+            self.texts -= element.texts
+            for _, _, slot, start in element.hits:
                 if slot is not None:
                     slot["value"] = self.html[start:end]
 
-    def _at(self) -> int:
-        line, column = self.getpos()
-        return self.line_at[line - 1] + column
-
-    def handle_starttag(self, tag, attrs):
-        self._flush()
-        start = self._at()
-        ends, barrier = _ENDS.get(tag, ((), ()))
+    def _start(self, tag: str, attributes: str, start: int, end: int) -> None:
+        if tag in _ENDS:
+            self._end_implied(tag, start)
+        parent = self.open[-1]
+        counts = parent.counts
+        if counts is None:
+            counts = parent.counts = {}
+        number = counts[tag] = counts.get(tag, 0) + 1
+        given = _attributes(attributes) if len(attributes) > 1 else _NONE
+        cls, title = given.get("class", ""), given.get("title", "")
+        path = f"{parent.path}{_STEP}{tag}{_PART}{number}{_PART}{cls}{_PART}{title}"
+        element = _Element(tag, path)
+        self.open.append(element)
+        self.depths[tag] = self.depths.get(tag, 0) + 1
+        if tag in self.tags:
+            for rule, pattern in self._fitting(tag, number, cls, title):
+                if pattern.fullmatch(path):
+                    self._hit(element, rule, given, start)
+        if tag in _VOID or attributes[-1:] == "/" and _SELF_CLOSED.search(attributes):
+            self._close_to(len(self.open) - 1, end)
+
+    def _end_implied(self, tag: str, start: int) -> None:
+        ends, barrier = _ENDS[tag]
+        for other in ends:
+            if self.depths.get(other):
+                break
+        else:
+            return
         for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth][0] in ends:
+            if self.open[depth].tag in ends:
                 self._close_to(depth, start)
                 break
-            if self.open[depth][0] in barrier:
+            if self.open[depth].tag in barrier:
                 break
-        _, parent_path, counts, _ = self.open[-1]
-        counts[tag] = counts.get(tag, 0) + 1
-        given = dict(attrs)
-        path = parent_path + _STEP + _PART.join((
-            tag, str(counts[tag]), given.get("class") or "", given.get("title") or "",
-        ))
-        hits = []
-        self.open.append((tag, path, {}, hits))
-        for rule, pattern in self.by_tag.get(tag, ()):
-            if not pattern.fullmatch(path):
-                continue
-            number = self.seen[rule.name]
-            self.seen[rule.name] += 1
-            slot = None
-            if rule.take in ("mark", "html"):
-                slot = self._add(rule, number, None)
-            elif rule.take[0] == "@" and given.get(rule.take[1:]) is not None:
-                self._add(rule, number, given[rule.take[1:]])
-            hits.append((rule, number, slot if rule.take == "html" else None, start))
-        if tag in _VOID:
-            self._close_to(len(self.open) - 1, start)
-
-    def handle_endtag(self, tag):
-        self._flush()
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth][0] == tag:
-                start = self._at()
-                self._close_to(depth + 1, start)
-                self._close_to(depth, self.html.find(">", start) + 1 or len(self.html))
-                break
-
-    def handle_data(self, data):
-        self.text.append(data)
 
-    def handle_comment(self, data):
-        self._flush()
+    def _fitting(self, tag: str, number: int, cls: str, title: str) -> list:
+        kind = (tag, number, cls, title)
+        known = self.fitting.get(kind)
+        if known is None:
+            if len(self.fitting) > 10_000:
+                self.fitting.clear()
+            step = _STEP + _PART.join((tag, str(number), cls, title))
+            known = self.fitting[kind] = [
+                (rule, path) for rule, last, path in self.rules
+                if rule.tag == tag and last.fullmatch(step)]
+        return known
+
+    def _hit(self, element: _Element, rule: Rule, given: dict[str, str], start: int) -> None:
+        number = self.seen[rule.name]
+        self.seen[rule.name] += 1
+        slot = None
+        if rule.take in ("mark", "html"):
+            slot = self._add(rule, number, None)
+        elif rule.take[0] == "@":
+            value = given.get(rule.take[1:])
+            if value is not None:
+                self._add(rule, number, value)
+        else:
+            element.texts += 1
+            self.texts += 1
+        element.hits += ((rule, number, slot if rule.take == "html" else None, start),)
+
+    def _end(self, tag: str, start: int, end: int) -> None:
+        if self.depths.get(tag):
+            depth = len(self.open) - 1
+            while self.open[depth].tag != tag:
+                depth -= 1
+            self._close_to(depth + 1, start)
+            self._close_to(depth, end)
 
 
 def read_pieces(pages: DataFrame, rules: Sequence[Rule], keep: Sequence[str],

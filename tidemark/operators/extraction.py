@@ -175,15 +175,16 @@ def map_fields(pieces: DataFrame) -> DataFrame:
     fields |= {f"contact_info_{part}": value for part, value in contact.items()}
 
     keep = [c for c in pieces.columns if c not in {r.name for r in DETAIL_RULES}]
-    mapped = placed.select(
-        *keep,
-        *[value.alias(name) for name, value in fields.items()],
-        no_tabs.alias("_no_tabs"),
-        (no_tabs & fallback.isNull()).alias("_no_content"),
-        ((F.size("dt") == 0) & (F.size("dd") == 0)).alias("_no_list"),
-        F.exists("tab_fields", lambda f: f.isNull() | ~f.isin(*MARKDOWN_FIELDS)).alias("_odd_tab"),
-        (F.size("tab") != F.size("article")).alias("_uneven_tabs"),
-    )
+    about_page = {
+        "_no_tabs": no_tabs,
+        "_no_content": no_tabs & fallback.isNull(),
+        "_no_list": (F.size("dt") == 0) & (F.size("dd") == 0),
+        "_odd_tab": F.exists("tab_fields", lambda f: f.isNull() | ~f.isin(*MARKDOWN_FIELDS)),
+        "_uneven_tabs": F.size("tab") != F.size("article"),
+    }
+    values = [value.alias(name) for name, value in (fields | about_page).items()]
+    # Through a generator, so that later filters use the values and do not repeat the work.
+    mapped = placed.select(*keep, F.inline(F.array(F.struct(*values))))
     issues = {
         "no title": F.col("title").isNull(),
         "no content": F.col("_no_content"),
@@ -194,7 +195,7 @@ def map_fields(pieces: DataFrame) -> DataFrame:
     }
     return mapped.withColumn(
         "issues", F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in issues.items()]))
-    ).drop("_no_tabs", "_no_content", "_no_list", "_odd_tab", "_uneven_tabs")
+    ).drop(*about_page)
 
 
 def extract(pages: DataFrame, rules: Sequence[Rule] = DETAIL_RULES,

@@ -12,9 +12,9 @@ from tidemark.functions.skew import attach_per_key, running_totals
 from tidemark.functions.urls import canonical_url
 
 # fixed values: class names of the listing layout, and its page size
-CARD = ANYWHERE + step("div", token="card--fundingprogram")
-CARD_LINK = CARD + step("p", token="card--title") + step("a")
-NEXT_LINK = ANYWHERE + r"[\x1e]a[\x1f]\d+[\x1f](?=[^\x1f]*\bforward\b)(?=[^\x1f]*\bbutton\b)[^\x1e]*"
+CARD = ANYWHERE + step("div", tokens=["card--fundingprogram"])
+CARD_LINK = CARD + step("p", tokens=["card--title"]) + step("a")
+NEXT_LINK = ANYWHERE + step("a", tokens=["forward", "button"])
 CARDS_PER_PAGE = 10
 
 LISTING_RULES = (

@@ -252,16 +252,11 @@ def checked(spark, folder):
 
 # --- streaming --------------------------------------------------------------
 
-def _page_snapshot(batch):
-    return run.split(run.read_records(
-        batch, SCRAPED, rules=extraction.ARTICLE_RULES, markers=PAGE_MARKERS)).records
-
-
 def _streamed(spark, stream, **options):
     store = HistoryStore(spark, shared_folder(spark, "stream"))
     ingest.ingest(
-        stream, store, _page_snapshot, f"{store.root}/checkpoint",
-        lambda number: SCRAPED + timedelta(days=number), **options,
+        stream, store, f"{store.root}/checkpoint", lambda n: SCRAPED + timedelta(days=n),
+        rules=extraction.ARTICLE_RULES, markers=PAGE_MARKERS, **options,
     ).awaitTermination()
     return store.active().select("id_hash", "id_url")
 

@@ -14,6 +14,7 @@ from tidemark.functions.text import SLUG_MARKERS
 from tidemark.operators import extraction, identity
 from tidemark.operators.consolidate import consolidate_parts
 from tidemark.operators.identity import require_unique
+from tidemark.operators.merge import PARTIAL
 from tidemark.operators.publishing import min_table, with_markdown
 from tidemark.schema import LICENSE_TEXT, PROGRAM_SCHEMA, WATCHED_FIELDS
 from tidemark.sources.history_store import HistoryStore
@@ -57,14 +58,23 @@ def split(checked: DataFrame, repeated: DataFrame | None = None) -> Snapshot:
 
 
 def load_run(pages: DataFrame, store: HistoryStore, run: int, run_at: datetime, *,
-             mode: str, **layout) -> bool:
-    """One scheduled run into the store: extract, check, merge, commit."""
+             mode: str, items: int | None = None, **layout) -> bool:
+    """One scheduled run into the store: extract, check, merge, commit.
+
+    ``items`` takes the first records in order of URL only, for trial runs (T2). Such a run
+    is never complete, so it must not be merged as one.
+    """
+    if items is not None and mode != PARTIAL:
+        raise ValueError("a capped run must be merged in partial mode")
     if run in store.runs():
         return False
     checked = store.materialise(read_records(pages, run_at, **layout), "extracted", run)
     repeated = store.materialise(split(checked).repeated, "repeated", run)
-    return store.merge(split(checked, repeated).records, run, run_at, mode=mode,
-                       watched=WATCHED_FIELDS, staged=True)
+    taken = split(checked, repeated).records
+    if items is not None:
+        taken = taken.orderBy("url").limit(items)
+    return store.merge(taken, run, run_at, mode=mode, watched=WATCHED_FIELDS,
+                       staged=items is None)
 
 
 def publish_history(store: HistoryStore, folder: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.merge import PARTIAL
+from tidemark.plans.run import load_run
 from tidemark.sources.history_store import HistoryStore
 
 PAGE_SCHEMA = T.StructType([
@@ -26,20 +27,17 @@ def page_stream(spark: SparkSession, folder: str, files_per_batch: int = 50,
             .option("pathGlobFilter", pattern).parquet(folder))
 
 
-def ingest(stream: DataFrame, store: HistoryStore, to_snapshot: Callable[[DataFrame], DataFrame],
-           checkpoint: str, run_at: Callable[[int], datetime], *,
-           items: int | None = None) -> StreamingQuery:
+def ingest(stream: DataFrame, store: HistoryStore, checkpoint: str,
+           run_at: Callable[[int], datetime], *, items: int | None = None,
+           **layout) -> StreamingQuery:
     """Every micro-batch is one partial run of the store.
 
     A micro-batch never shows the whole site, so the merge is always the partial one. The
     batch number is the run number: a batch replayed after a failure finds its commit and
-    changes nothing. ``items`` caps the records of a batch, in order of URL, for trial runs.
+    changes nothing. ``items`` caps the records of a batch, for trial runs.
     """
     def merge(batch: DataFrame, number: int) -> None:
-        taken = to_snapshot(batch)
-        if items is not None:
-            taken = taken.orderBy("url").limit(items)
-        store.merge(taken, number, run_at(number), mode=PARTIAL)
+        load_run(batch, store, number, run_at(number), mode=PARTIAL, items=items, **layout)
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
