@@ -8,7 +8,7 @@ expression in ``operators.extraction`` and ``operators.links``.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from html import unescape
 
@@ -58,9 +58,7 @@ PIECES = T.ArrayType(T.StructType([
     T.StructField("pos", T.IntegerType()),     # order within the page
     T.StructField("value", T.StringType()),
 ]))
-_ARROW_PIECES = pa.list_(pa.struct([
-    ("nth", pa.int32()), ("scope", pa.int32()), ("pos", pa.int32()), ("value", pa.string()),
-]))
+_ARROW_TYPES = {"nth": pa.int32(), "scope": pa.int32(), "pos": pa.int32(), "value": pa.string()}
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _RAW = {t: re.compile(rf"(?=</{t}[\s>])|\Z", re.I) for t in ("script", "style")}
@@ -98,7 +96,7 @@ class _Element:
     def __init__(self, tag, path):
         self.tag, self.path = tag, path
         self.counts = None   # children seen, per tag
-        self.hits = ()    # (rule, number, piece to fill at the end, start)
+        self.hits = ()    # (rule, number, index of the value to fill at the end, start)
         self.texts = 0    # how many of them take text
 
 
@@ -113,11 +111,26 @@ class _Reader:
         # Rules whose last step fits a kind of element; few kinds make up most of a site.
         self.fitting: dict[tuple, list] = {}
 
-    def read(self, html: str | None) -> dict[str, list[dict]]:
-        self.html = html = html or ""
+    def read_batch(self, pages: Iterable[str | None]) -> list[pa.Array]:
+        """One list array per rule, one list per page; pieces are gathered column by column."""
+        self.found = {name: ([], [], [], []) for name in self.names}
+        ends = {name: [0] for name in self.names}
+        for page in pages:
+            self._read(page or "")
+            for name, columns in self.found.items():
+                ends[name].append(len(columns[0]))
+        arrays = []
+        for name, columns in self.found.items():
+            parts = [pa.array(c, t) for c, t in zip(columns, _ARROW_TYPES.values())]
+            arrays.append(pa.ListArray.from_arrays(
+                pa.array(ends[name], pa.int32()),
+                pa.StructArray.from_arrays(parts, list(_ARROW_TYPES))))
+        return arrays
+
+    def _read(self, html: str) -> None:
+        self.html = html
         self.open = [_Element("", "")]
         self.depths: dict[str, int] = {}   # open elements per tag
-        self.found = {name: [] for name in self.names}
         self.seen = dict.fromkeys(self.names, 0)
         self.pos = self.texts = at = 0
         while token := _TOKEN.search(html, at):
@@ -135,17 +148,16 @@ class _Reader:
         if self.texts and at < len(html):
             self._text(html[at:])
         self._close_to(1, len(html))
-        return self.found
 
-    def _add(self, rule: Rule, number: int, value: str | None) -> dict:
+    def _add(self, rule: Rule, number: int, value: str | None) -> int:
         scope = None
         if rule.scope:
             scope = next((n for element in reversed(self.open) for r, n, _, _ in element.hits
                           if r.name == rule.scope), None)
-        piece = {"nth": number, "scope": scope, "pos": self.pos, "value": value}
+        for column, item in zip(self.found[rule.name], (number, scope, self.pos, value)):
+            column.append(item)
         self.pos += 1
-        self.found[rule.name].append(piece)
-        return piece
+        return len(self.found[rule.name][0]) - 1
 
     def _text(self, text: str) -> None:
         if "&" in text:
@@ -162,9 +174,9 @@ class _Reader:
             element = self.open.pop()
             self.depths[element.tag] -= 1
             self.texts -= element.texts
-            for _, _, slot, start in element.hits:
+            for rule, _, slot, start in element.hits:
                 if slot is not None:
-                    slot["value"] = self.html[start:end]
+                    self.found[rule.name][3][slot] = self.html[start:end]
 
     def _start(self, tag: str, attributes: str, start: int, end: int) -> None:
         if tag in _ENDS:
@@ -251,9 +263,8 @@ def read_pieces(pages: DataFrame, rules: Sequence[Rule], keep: Sequence[str],
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(rules)
         for batch in batches:
-            found = [reader.read(page) for page in batch.column(html).to_pylist()]
             columns = [batch.column(c) for c in keep]
-            columns += [pa.array([f[r.name] for f in found], _ARROW_PIECES) for r in rules]
+            columns += reader.read_batch(batch.column(html).to_pylist())
             yield pa.RecordBatch.from_arrays(columns, keep + [r.name for r in rules])
 
     return pages.select(*dict.fromkeys([*keep, html])).mapInArrow(parse, schema)

@@ -47,8 +47,9 @@ def read_records(pages: DataFrame, run_at: datetime, *,
 def split(checked: DataFrame, repeated: DataFrame | None = None) -> Snapshot:
     """Sorts checked records into the snapshot and its reports."""
     fields = PROGRAM_SCHEMA.fieldNames()
-    titled = checked.filter(F.col("title").isNotNull())
-    valid = titled.filter(F.size("problems") == 0).select("page_id", *fields)
+    valid = checked.filter(F.size("problems") == 0).select("page_id", *fields)
+    # A page without title is no record at all: it is an issue, not a rejected record.
+    titled = checked.filter(~F.array_contains("problems", "title: missing"))
     return Snapshot(
         records=identity.one_per_key(valid, ["page_id", "url"], repeated=repeated).select(*fields),
         rejected=identity.rejected_records(titled, ["page_id", "url"]),

@@ -22,7 +22,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     """Lists as text; quotes doubled, line breaks kept inside quotes."""
     (flat_lists(df).write.mode("overwrite")
      .option("header", True).option("quote", '"').option("escape", '"')
-     .option("emptyValue", '""')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
@@ -30,8 +29,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 def read_csv(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """Reads a CSV written by ``write_csv``; the schema comes from the table it was made of."""
     schema = flat_lists(like).schema
+    # A null value that no text equals keeps missing and empty ("") fields apart.
     return (spark.read.schema(schema).option("header", True).option("quote", '"')
-            .option("escape", '"').option("multiLine", True).option("emptyValue", "")
+            .option("escape", '"').option("multiLine", True).option("nullValue", "\u0000")
             .csv(path))
 
 
