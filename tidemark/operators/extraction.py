@@ -182,9 +182,10 @@ def map_fields(pieces: DataFrame) -> DataFrame:
         "_odd_tab": F.exists("tab_fields", lambda f: f.isNull() | ~f.isin(*MARKDOWN_FIELDS)),
         "_uneven_tabs": F.size("tab") != F.size("article"),
     }
-    values = [value.alias(name) for name, value in (fields | about_page).items()]
+    values = fields | about_page
+    mapped = placed.select(*keep, *[value.alias(name) for name, value in values.items()])
     # Through a generator, so that later filters use the values and do not repeat the work.
-    mapped = placed.select(*keep, F.inline(F.array(F.struct(*values))))
+    mapped = mapped.select(*keep, F.inline(F.array(F.struct(*values))))
     issues = {
         "no title": F.col("title").isNull(),
         "no content": F.col("_no_content"),

@@ -14,7 +14,7 @@ from tidemark.operators import (
     analytics, audit, consolidate, extraction, identity, links, merge, publishing, replay,
 )
 from tidemark.plans import inputs, run
-from tidemark.session import shared_folder
+from tidemark.session import shared_folder, stored
 from tidemark.sources import published, tables
 from tidemark.sources.history_store import HistoryStore
 from tidemark.streaming import ingest
@@ -42,16 +42,21 @@ def current(spark: SparkSession, folder: str) -> DataFrame:
     return consolidate.consolidate(versions(spark, folder))
 
 
+def published_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The flagship as analyses find it: written, since they read it more than once."""
+    return stored(current(spark, folder), "current")
+
+
 def states(spark: SparkSession, folder: str, every: str = "day") -> DataFrame:
     return inputs.user_states(tables.table(spark, folder, "events"), every)
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.table(spark, folder, "pages")
+    return tables.spread(tables.table(spark, folder, "pages"))
 
 
 def details(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.detail_pages(tables.table(spark, folder, "documents"))
+    return inputs.detail_pages(tables.spread(tables.table(spark, folder, "documents")))
 
 
 def detail_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -66,6 +71,11 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
     return links.listing_pieces(inputs.listing_pages(tables.table(spark, folder, "part")))
 
 
+def stored_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Parsed once for the operators that look at the cards twice."""
+    return stored(listing(spark, folder), "listing")
+
+
 def resolved(pieces: DataFrame) -> DataFrame:
     return links.resolved_links(links.links(pieces))
 
@@ -90,7 +100,8 @@ def seed_urls(spark, folder):
 
 
 def page_source(spark, folder):
-    return pages(spark, folder).select("page_id", "url", F.length("html").alias("html_chars"))
+    return tables.table(spark, folder, "pages").select(
+        "page_id", "url", F.length("html").alias("html_chars"))
 
 
 def replaced_table(spark, folder):
@@ -162,7 +173,7 @@ def history_by_sql(spark, folder):
 
 def _last_two(spark, folder):
     """State after the last run but one, as active versions, and the last snapshot."""
-    daily = states(spark, folder)
+    daily = stored(states(spark, folder), "states")
     runs = replay.run_calendar(daily, "run_at")
     last = runs.filter("_run_after IS NULL").select("run_at")
     before = runs.filter("_run_after IS NULL").select(F.col("_run_before").alias("run_at"))
@@ -194,15 +205,15 @@ def merged_scope(spark, folder):
 
 
 def replayed(spark, folder):
-    return replay.replay(states(spark, folder), "run_at").select(
+    return replay.replay(stored(states(spark, folder), "states"), "run_at").select(
         "id_hash", "title", "checksum", "on_website_from", "on_website_to", "load_id")
 
 
 def consolidated_from_parts(spark, folder):
-    every = versions(spark, folder)
+    every = stored(versions(spark, folder), "versions")
     return publishing.flat_lists(consolidate.consolidate_parts(
         every.filter("on_website_to IS NULL"), every.filter("on_website_to IS NOT NULL"),
-        list(consolidate.VERSION_COLUMNS.payload(every.columns))))
+        consolidate.VERSION_COLUMNS.payload(every.columns)))
 
 
 def reconciled(spark, folder):
@@ -217,7 +228,7 @@ def dead_links(spark, folder):
     ).select(
         F.concat(F.lit(inputs.DETAIL_SITE + "Foerderprogramm/c"), "o_custkey", F.lit(".html"))
         .alias("url"), "is_valid")
-    return audit.dead_links(current(spark, folder), status).select(
+    return audit.dead_links(published_table(spark, folder), status).select(
         "id_hash", "url", "last_updated")
 
 
@@ -300,13 +311,14 @@ QUERIES: dict[str, Query] = {
                            "url", "page_no", "pos", "occurrences"),
     "l3_first_seen_cards": _over(lambda s, d: resolved(listing(s, d)), links.first_seen,
                                  "url", "page_no", "pos", "occurrences"),
-    "l4_duplicate_links": _over(lambda s, d: resolved(listing(s, d)), links.duplicate_links,
-                                "url", "page_no", "pos", "original_page_no", "original_page_url"),
+    "l4_duplicate_links": _over(
+        lambda s, d: stored(resolved(listing(s, d)), "links"), links.duplicate_links,
+        "url", "page_no", "pos", "original_page_no", "original_page_url"),
     "l5_listing_quality": _over(navigation, links.listing_quality, "page_no", "cards", "status"),
     "l6_incomplete_cards": _over(listing, links.incomplete_cards,
                                  "page_no", "card_no", "missing_link", "missing_text"),
     "l7_discovery_totals": _over(
-        listing, lambda df: links.discovery_totals(df, resolved(df)),
+        stored_listing, lambda df: links.discovery_totals(df, resolved(df)),
         "page_no", "cards", "new_urls", "total_cards", "total_urls"),
     "l8_next_pages": _over(listing, links.next_pages, "page_no", "next_href"),
     "x1_titles": _over(lambda s, d: extraction.extract(pages(s, d), extraction.ARTICLE_RULES),
@@ -345,7 +357,7 @@ QUERIES: dict[str, Query] = {
     "i5_rejected_records": _over(
         lambda s, d: identity.rejected_records(checked(s, d), ["page_id"]), lambda df: df),
     "i6_repeated_keys": _over(versions, identity.repeated_keys),
-    "i6_unique_or_fail": _over(current, identity.require_unique, "id_hash", "deleted"),
+    "i6_unique_or_fail": _over(published_table, identity.require_unique, "id_hash", "deleted"),
     "h1_merge_complete": merged_complete,
     "h2_merge_partial": merged_partial,
     "h2_merge_partial_by_title": merged_scope,
@@ -355,11 +367,14 @@ QUERIES: dict[str, Query] = {
     "h5_active_slice": _over(versions, consolidate.active_slice),
     "h6_latest_retired": _over(versions, consolidate.latest_retired),
     "h6_latest_retired_ties": _over(
-        versions, lambda df: consolidate.latest_retired(df, ties="all")),
+        lambda s, d: stored(versions(s, d), "versions"),
+        lambda df: consolidate.latest_retired(df, ties="all")),
     "h7_deleted_keys": _over(versions, consolidate.deleted_keys),
     "h8_consolidated": _over(current, lambda df: df),
     "h8_consolidated_parts": consolidated_from_parts,
-    "h8_consolidated_ties": _over(versions, lambda df: consolidate.consolidate(df, ties="all")),
+    "h8_consolidated_ties": _over(
+        lambda s, d: stored(versions(s, d), "versions"),
+        lambda df: consolidate.consolidate(df, ties="all")),
     "h8_consolidated_no_carry": _over(
         versions, lambda df: consolidate.consolidate(df, carry_forward=False)),
     "h9_changed_and_active": _over(versions, consolidate.changed_and_active_keys),
@@ -383,23 +398,24 @@ QUERIES: dict[str, Query] = {
     "a1_applicant_counts": _over(
         current, lambda df: analytics.category_counts(df, "eligible_applicants")),
     "a1_type_counts": _over(current, lambda df: analytics.category_counts(df, "funding_type")),
-    "a2_area_shares": _over(current, lambda df: analytics.category_shares(df, "funding_area")),
-    "a3_recently_deleted": _over(current, _recent(True)),
-    "a3_recently_added": _over(current, _recent(False)),
+    "a2_area_shares": _over(
+        published_table, lambda df: analytics.category_shares(df, "funding_area")),
+    "a3_recently_deleted": _over(published_table, _recent(True)),
+    "a3_recently_added": _over(published_table, _recent(False)),
     "a4_freshness": _over(current, analytics.freshness),
     "a5_active_programs": _over(current, analytics.active_programs, "id_hash", "title"),
     "a5_active_count": _over(current, analytics.active_count),
     "a6_profile": _over(current, analytics.profile, "column_name", "row_count", "null_count"),
     "a7_weeks": _over(current, analytics.with_week, "id_hash", "week_start_date"),
-    "a8_without_first_load": _over(current, analytics.without_first_load,
+    "a8_without_first_load": _over(published_table, analytics.without_first_load,
                                    "id_hash", "on_website_from"),
-    "a9_weekly_added": _over(current, analytics.weekly_added),
-    "a10_weekly_deleted": _over(current, analytics.weekly_deleted),
+    "a9_weekly_added": _over(published_table, analytics.weekly_added),
+    "a10_weekly_deleted": _over(published_table, analytics.weekly_deleted),
     "a10_weekly_deleted_by_update": _over(
-        current, lambda df: analytics.weekly_deleted(df, "last_updated")),
-    "a11_weekly_series": _over(current, analytics.weekly_series),
+        published_table, lambda df: analytics.weekly_deleted(df, "last_updated")),
+    "a11_weekly_series": _over(published_table, analytics.weekly_series),
     "a12_series_if_history": _over(
-        current, lambda df: analytics.if_history(df, analytics.weekly_series(df))),
+        published_table, lambda df: analytics.if_history(df, analytics.weekly_series(df))),
     "a13_recent": _over(current, lambda df: analytics.recent(
         df, F.lit(AS_OF).cast("timestamp_ntz")), "id_hash", "on_website_from", "deleted"),
     "a14_first_rows": _over(current, lambda df: analytics.first_rows(df, "id_hash"),

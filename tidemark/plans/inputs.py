@@ -120,7 +120,8 @@ def detail_pages(documents: DataFrame) -> DataFrame:
         only(lang == "de", F.concat(F.lit('<p class="fax">Fax: 0309 '), number, F.lit("</p>"))),
         F.lit('<p class="email"> <a href="mailto:'), source,
         F.lit('@example.org"><span class="link--label">Mail</span></a></p>'
-              '<p class="website"><a href="https://'), source, F.lit('.example.org/">W</a></p></dd>'))
+              '<p class="website"><a href="https://'), source,
+        F.lit('.example.org/">W</a></p></dd>'))
     listed = F.concat(
         F.lit("<dl> "),
         entry("Förderart", F.concat(F.lit("Zuschuss, "), lang)),
@@ -175,8 +176,8 @@ def listing_pages(parts: DataFrame) -> DataFrame:
     Cards of type "ECONOMY" lack the target, those of "Brand#7" the text.
     """
     href = F.when(F.col("p_type") == "ECONOMY", "").otherwise(F.concat(
-        F.lit(' href="FDB/Content/DE/Foerderprogramm/'), F.replace("p_name", F.lit(" "), F.lit("-")),
-        F.lit('.html"')))
+        F.lit(' href="FDB/Content/DE/Foerderprogramm/'),
+        F.replace("p_name", F.lit(" "), F.lit("-")), F.lit('.html"')))
     label = F.when(F.col("p_brand") == "Brand#7", "").otherwise(F.col("p_name"))
     cards = parts.select(
         F.floor(F.col("p_partkey") / 10).alias("page_id"), "p_partkey",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -46,3 +46,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-tidemark-"))
         root = sc.getCheckpointDir()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """Writes a table to the shared folder and reads it back.
+
+    For results that several branches of a plan use: computed once, safe from lost
+    executors, and of a size that Spark knows when it plans the joins on it.
+    """
+    path = shared_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
