@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 # A key is hot when it holds more than this share of the rows, so there can never be
 # more than 1 / HOT_SHARE hot keys: that bound is what makes broadcasting them safe.
 HOT_SHARE = 1 / 500
@@ -20,8 +22,10 @@ def attach_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str],
     ``per_key`` holds each key's row count in ``count``, as produced by the aggregate that
     made it. Rows of hot keys are spread over ``salts`` reducers and the one row of such a
     key is repeated as often; all other keys join as they are. Nothing is left out.
+    ``per_key`` is used three times, so it is written to the shared folder first.
     """
     keys = list(keys)
+    per_key = stored(per_key, "per-key")
     total = per_key.select(F.sum(count)).scalar()
     flagged = per_key.withColumn("_hot", F.col(count) > total * F.lit(hot_share))
     hot = flagged.filter("_hot").select(*keys, F.lit(True).alias("_hot"))

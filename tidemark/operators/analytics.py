@@ -146,4 +146,5 @@ def has_null(df: DataFrame, column: str) -> DataFrame:
 
 def pick_deleted(df: DataFrame, key: str = "id_hash", seed: int = 0) -> DataFrame:
     """A deleted row chosen by seeded hash: arbitrary, yet the same on every run."""
-    return df.filter("deleted").orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(1)
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return df.filter("deleted").orderBy(drawn, key).limit(1)

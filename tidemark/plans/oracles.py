@@ -487,6 +487,8 @@ FROM cur WHERE deleted AND last_updated <> (SELECT min(last_updated) FROM cur) G
     "a15_distinct_titles": _on_cur("SELECT DISTINCT title FROM cur"),
     "a15_null_among_starts": _on_cur(
         "SELECT count(*) FILTER (WHERE on_website_from IS NULL) > 0 AS has_null FROM cur"),
+    "a16_pick_deleted": _on_cur("SELECT id_hash, deleted FROM cur WHERE deleted "
+                                "ORDER BY md5('0:' || id_hash), id_hash LIMIT 1"),
     "t1_streamed_pages": f"""
 SELECT DISTINCT md5({_PAGE_SLUG}) AS id_hash, {_PAGE_SLUG} AS id_url FROM pages
 WHERE {_TITLE} <> ''""",
