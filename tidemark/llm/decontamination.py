@@ -1,8 +1,8 @@
 """Benchmark decontamination with DataFrame functions only.
 
 Item texts become a set of normalised word windows. Documents are scanned window by window
-for their hashes; hits are verified on the words themselves, and documents or the hit words
-can be removed. The set is broadcast up to ``BROADCAST_ROWS`` windows (some 24 MB of hash
+for the hash of three of their words; hits are verified on all words, and documents or the
+hit words can be removed. The set is broadcast up to ``BROADCAST_ROWS`` windows (some 24 MB of hash
 and number); a larger one is met by a shuffle join on the hash.
 """
 
@@ -11,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii
+from tidemark.llm.common import lower_ascii, union_all
 from tidemark.session import stored
 
 WIDTH = 10
 BROADCAST_ROWS = 1_000_000
-# What separates words in lower-cased text, and a word in text as written.
+# What separates words in lower-cased text and in text as written, and a word.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WRITTEN_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 KEY = ["_id", "_text_hash"]
 
@@ -37,6 +38,11 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
         F.transform(starts, lambda s: F.slice(F.col("w"), s, F.col("n")))).alias("gram")).distinct()
 
 
+def _probe(w: Column, start: Column, n: Column) -> Column:
+    """Hash of the first, middle and last word of a window; ``start`` counts from 0."""
+    return F.xxhash64(F.get(w, start), F.get(w, start + F.floor(n / 2).cast("int")), F.get(w, start + n - 1))
+
+
 def _bounded(frame: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
 
@@ -46,36 +52,42 @@ def find_hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
               width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
     """Verified hits (_id, _text_hash, pos, n, gram_no) and the items of each gram.
 
-    ``pos`` counts words from 1 and the window covers ``n`` words. Rows are told apart by id
+    ``pos`` counts words from 1 (an empty first piece of the split included) and the window covers ``n`` words. Rows are told apart by id
     and text, so repeated rows share their hits.
     """
     windows = stored(item_windows(items, item_id, item_text, width), "item-windows")
+    lowered = F.transform("gram", lambda g: F.lower(g))
     grams = stored(windows.select("gram").distinct().withColumns({
-        "gram_no": F.monotonically_increasing_id(), "n": F.size("gram"), "h": F.xxhash64("gram"),
-    }), "grams")
+        "gram_no": F.monotonically_increasing_id(), "n": F.size("gram"), "g": lowered,
+    }).withColumn("probe", _probe(F.col("g"), F.lit(0), F.col("n"))).drop("g"), "grams")
     rows = grams.count()
     lengths = [r.n for r in grams.select("n").distinct().collect()]  # at most ``width`` values
     keyed = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text_hash"),
-                        words(text_col).alias("w"))
-
-    def hashes(n: int) -> Column:
-        starts = F.when(F.size("w") >= n, F.sequence(F.lit(1), F.size("w") - n + 1))
-        return F.transform(F.coalesce(starts, F.array().cast("array<int>")),
-                           lambda s: F.struct(s.alias("pos"), F.lit(n).alias("n"),
-                                              F.xxhash64(F.slice(F.col("w"), s, n)).alias("h")))
-
-    none = F.array().cast("array<struct<pos:int,n:int,h:bigint>>")
-    every = F.concat(none, *[hashes(n) for n in lengths])
-    scanned = keyed.select(*KEY, F.explode(every).alias("p")).select(*KEY, "p.*")
+                        F.col(text_col).alias("t"))
+    # Words are lowered one by one with the plain function, which is coarser than A-Z alone:
+    # it can only add candidates. Empty ends of the split stay, so positions agree below.
+    split = keyed.select(*KEY, F.split(F.coalesce("t", F.lit("")), WRITTEN_SEPARATORS).alias("w"))
+    split = split.select(*KEY, F.transform("w", lambda x: F.lower(x)).alias("w"))
+
+    def scan(n: int) -> DataFrame:
+        starts = F.sequence(F.lit(0), F.size("w") - n)
+        probes = F.transform(starts, lambda s: _probe(F.col("w"), s, F.lit(n)))
+        return split.where(F.size("w") >= n).select(*KEY, F.posexplode(probes).alias("pos", "probe")).select(
+            *KEY, (F.col("pos") + 1).alias("pos"), F.lit(n).alias("n"), "probe")
+
+    wanted = _bounded(grams.select("probe", "n").distinct(), rows)
+    none = split.select(*KEY, F.lit(0).alias("pos"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("probe"))
+    scans = [scan(n) for n in lengths] or [none.where("false")]
     candidates = stored(
-        scanned.join(_bounded(grams.select("h", "n").distinct(), rows), ["h", "n"]), "candidates")
-    per_doc = candidates.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "n", "h")).alias("c"))
+        union_all(scans).join(wanted, ["probe", "n"]).select(*KEY, "pos", "n"), "candidates")
+    per_doc = candidates.groupBy(*KEY).agg(F.collect_set(F.struct("pos", "n")).alias("c"))
     same = [F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in KEY]
-    back = keyed.alias("d").join(per_doc.alias("c"), same).select("d._id", "d._text_hash", "w", "c")
+    back = keyed.alias("d").join(per_doc.alias("c"), same).select("d._id", "d._text_hash", "t", "c")
+    back = back.select(*KEY, F.split(lower_ascii("t"), SEPARATORS).alias("w"), "c")
     shown = back.select(*KEY, F.explode(F.transform("c", lambda p: F.struct(
-        p.pos.alias("pos"), p.n.alias("n"), p.h.alias("h"),
+        p.pos.alias("pos"), p.n.alias("n"),
         F.slice(F.col("w"), p.pos, p.n).alias("gram")))).alias("p")).select(*KEY, "p.*")
-    verified = shown.join(_bounded(grams, rows), ["h", "n", "gram"])
+    verified = shown.join(_bounded(grams.drop("probe"), rows), ["n", "gram"])
     verified = stored(verified.select(*KEY, "pos", "n", "gram_no").distinct(), "hits")
     gram_items = windows.join(_bounded(grams, rows), "gram").select("gram_no", "item_id").distinct()
     return verified, gram_items
@@ -100,7 +112,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     marked = spans.alias("a").join(found.alias("b"), same, "left").select(
         "a._id", "a._text_hash", "n_hit", "items")
     counted = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text_hash"),
-                          F.size(words(text_col)).cast("long").alias("n_words"))
+                          F.size(F.array_remove(F.split(F.coalesce(text_col, F.lit("")), WRITTEN_SEPARATORS), ""))
+                          .cast("long").alias("n_words"))
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     return counted.alias("a").join(marked.alias("b"), same, "left").select(
         F.col("a._id").alias("doc_id"), "n_words",
@@ -131,8 +144,9 @@ def remove(docs: DataFrame, items: DataFrame, what: str = "documents", id_col: s
             "spans", lambda s: F.sequence(s.pos, s.pos + s.n - 1)))).alias("cut"))
     text = F.col(f"_row.{text_col}")
     between, written = F.split(text, WORD), F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    shift = F.when(text.rlike("^" + WORD), 1).otherwise(2)
     left = F.transform(written, lambda w, i: F.when(
-        F.array_contains("cut", i + 1), F.lit("")).otherwise(
+        F.array_contains("cut", i + shift), F.lit("")).otherwise(
         F.concat(w, F.element_at(between, i + 2))))
     clean = F.when(F.col("cut").isNull(), text).otherwise(
         F.concat(F.element_at(between, 1), F.array_join(left, "")))
