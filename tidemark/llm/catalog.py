@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, neighbours, simhash_dedup
+from tidemark.llm import (
+    decontamination, length_histogram, neighbours, quality_knn, simhash_dedup,
+)
 from tidemark.sources.tables import table
 
 
@@ -23,10 +25,22 @@ def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(vectors.where(F.col("vec_id") % 20 == 0), vectors)
 
 
+def token_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    return length_histogram.length_table(table(spark, folder, "documents"))
+
+
+def quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality_knn.fit(docs, table(spark, folder, "labels"))
+    return quality_knn.score(docs, model)
+
+
 QUERIES = {
+    "op3_token_lengths": token_lengths,
     "op6_benchmark_hits": benchmark_hits,
     "op7_simhash_components": simhash_components,
     "op9_nearest_vectors": nearest_vectors,
+    "op10_quality_votes": quality_votes,
 }
 ORACLES = {
     "op6_benchmark_hits": decontamination.ORACLE,
