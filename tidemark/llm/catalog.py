@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontamination, length_histogram, neighbours, quality_knn, simhash_dedup,
+    decontamination, length_histogram, neighbours, quality_knn, simhash_dedup, toxicity,
 )
 from tidemark.sources.tables import table
 
@@ -35,8 +35,14 @@ def quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return quality_knn.score(docs, model)
 
 
+def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 QUERIES = {
     "op3_token_lengths": token_lengths,
+    "op4_toxicity_scores": toxicity_scores,
     "op6_benchmark_hits": benchmark_hits,
     "op7_simhash_components": simhash_components,
     "op9_nearest_vectors": nearest_vectors,
