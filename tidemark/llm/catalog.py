@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontamination, length_histogram, neighbours, quality_knn, sentence_pieces, simhash_dedup, toxicity,
+    decontamination, length_histogram, maxent_lm, neighbours, quality_knn, sentence_pieces, simhash_dedup, toxicity,
 )
 from tidemark.sources.tables import table
 
@@ -25,6 +25,10 @@ def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(vectors.where(F.col("vec_id") % 20 == 0), vectors)
 
 
+def model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent_lm.fit_and_score(table(spark, folder, "documents"))
+
+
 def best_segmentations(spark: SparkSession, folder: str) -> DataFrame:
     return sentence_pieces.encode(table(spark, folder, "documents"))
 
@@ -45,6 +49,7 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_model_scores": model_scores,
     "op2_best_segmentations": best_segmentations,
     "op3_token_lengths": token_lengths,
     "op4_toxicity_scores": toxicity_scores,
