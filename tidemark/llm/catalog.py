@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontamination, length_histogram, maxent_lm, neighbours, quality_knn, sentence_pieces, simhash_dedup, toxicity,
+    decontamination, length_histogram, maxent_lm, neighbours, quality_knn, sentence_pieces, simhash_dedup,
+    substring_dedup, toxicity,
 )
 from tidemark.sources.tables import table
 
 
+def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, folder, "documents"))
+
+
 def benchmark_hits(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -53,6 +58,7 @@ QUERIES = {
     "op2_best_segmentations": best_segmentations,
     "op3_token_lengths": token_lengths,
     "op4_toxicity_scores": toxicity_scores,
+    "op5_repeated_passages": repeated_passages,
     "op6_benchmark_hits": benchmark_hits,
     "op7_simhash_components": simhash_components,
     "op9_nearest_vectors": nearest_vectors,
