@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontamination, length_histogram, maxent_lm, neighbours, quality_knn, sentence_pieces, simhash_dedup,
+    decontamination, language_id, length_histogram, maxent_lm, neighbours, quality_knn, sentence_pieces, simhash_dedup,
     substring_dedup, toxicity,
 )
 from tidemark.sources.tables import table
@@ -25,6 +25,10 @@ def simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def page_languages(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "pages"), table(spark, folder, "documents"))
+
+
 def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return neighbours.nearest(vectors.where(F.col("vec_id") % 20 == 0), vectors)
@@ -61,6 +65,7 @@ QUERIES = {
     "op5_repeated_passages": repeated_passages,
     "op6_benchmark_hits": benchmark_hits,
     "op7_simhash_components": simhash_components,
+    "op8_page_languages": page_languages,
     "op9_nearest_vectors": nearest_vectors,
     "op10_quality_votes": quality_votes,
 }

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -159,3 +160,24 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id",
     scored = rows.mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", (fold("doc_id") == held_out_fold).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "text",
+         neighbours: int = NEIGHBOURS, threshold: float = 0.3) -> DataFrame:
+    """The rows whose text reaches the threshold, with all their columns as they are.
+
+    Rows with null or empty text hold nothing to train on and go. Rows are judged one by
+    one, so repeated rows stay or go together.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def votes(texts: pd.Series) -> pd.Series:
+        out = np.zeros(len(texts))
+        raw = [(t or "").encode("utf-8", "surrogateescape") for t in texts]
+        for at in range(0, len(raw), 256):
+            out[at:at + 256] = vote(shared.value, raw[at:at + 256], neighbours)
+        return pd.Series(out)
+
+    text = F.col(text_col)
+    return docs.where(text.isNotNull() & (text != "") & (votes(text) >= threshold))

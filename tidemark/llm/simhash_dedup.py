@@ -17,7 +17,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, in_slices, texts_of
@@ -241,3 +241,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_fp = placed.join(lowest, "root").select("fp", "component_id")
     return marked.join(by_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               width: int = 3, distance: int = 3) -> DataFrame:
+    """The row of the smallest id of each component, with all its columns as they are.
+
+    Of rows that repeat that id the one with the smallest text stays; a component of rows
+    without id keeps them, since they cannot be told apart.
+    """
+    found = near_duplicates(docs, id_col, text_col, width, distance)
+    first = found.where("component_id = doc_id OR component_id IS NULL").select("doc_id", "fingerprint").distinct()
+    packed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_id"),
+                         F.col(text_col).alias("_text"))
+    stay = packed.join(first.select("doc_id").distinct(), F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
+    again = Window.partitionBy("_id").orderBy("_text")
+    numbered = stay.where("_id IS NOT NULL").withColumn("_n", F.row_number().over(again)).where("_n = 1")
+    return numbered.select("_row.*").unionByName(stay.where("_id IS NULL").select("_row.*"))
