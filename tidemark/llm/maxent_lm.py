@@ -11,6 +11,7 @@ the most frequent ``LOOKUP`` are broadcast, the others are joined.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from tidemark.llm.common import fold, in_slices, texts_of
 from tidemark.session import stored
 
 END = b"\n"  # white space, so no word is equal to it
-LOOKUP = 200_000
+LOOKUP = 100_000
 CLASSES, WORDS_PER_CLASS, RARE = 32, 64, 16
 VOCABULARY = CLASSES * WORDS_PER_CLASS
 OUT = CLASSES + RARE
@@ -71,9 +72,19 @@ def token_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, lookup: int = LOOKUP) -> dict:
-    """The broadcast part of the counts, at most ``lookup`` tokens, and the totals."""
+    """The broadcast part of the counts, at most ``lookup`` tokens, and the totals.
+
+    The least count that comes along follows from how many tokens have which count, so no
+    task sends more to the driver than is kept.
+    """
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(lookup).collect()
+    least, held = math.inf, 0
+    for r in counts.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).collect():
+        if held + r.n > lookup:
+            break
+        least, held = r.c, held + r.n
+    top = counts.where(F.col("c") >= least).collect() if held else []
+    top.sort(key=lambda r: (-r.c, bytes(r.token)))
     words = [bytes(r.token) for r in top]
     number = np.array([r.c for r in top], dtype=np.float64)
     inside = counts.sparkSession.createDataFrame([(w,) for w in words[:VOCABULARY]], "token binary")
@@ -312,7 +323,7 @@ def score(docs: DataFrame, counts: DataFrame, vocab, weights: dict, id_col: str
     kinds = ("row long, doc_id long, n_tokens long, n_known long, base double, model double, "
              "rare array<binary>")
     scored = stored(rows.mapInArrow(run, kinds), "scored")
-    # None of these tokens has more than 1 / LOOKUP of all occurrences in training.
+    # The frequent tokens are not among these, so no key of the join is hot.
     asked = scored.select("row", F.explode("rare").alias("token"))
     found = asked.join(counts, "token").groupBy("row").agg(
         F.count("*").alias("more_known"), F.sum(F.log10(F.col("c") + 0.5) - F.log10(F.lit(0.5))).alias("more"))
