@@ -155,3 +155,35 @@ def test_listing_pages(spark):
         "page_no", "total_cards", "total_urls"), "page_no") == [(1, 3, 2), (2, 4, 2), (3, 4, 2)]
     assert rows(links.next_pages(pieces).select("next_href"), "page_no") == [
         ("?page=2",), (None,), (None,)]
+
+
+def test_deep_markup_costs_by_its_length():
+    """Unclosed elements keep a state, not their path: 50,000 levels, one row, all pieces."""
+    import tracemalloc
+
+    from tidemark.functions import html
+
+    reader = html._Reader(extraction.DETAIL_RULES)
+    reader.read_batch(["<main>" + "<div>x" * 1000])
+    peaks = []
+    for depth in (25_000, 50_000):
+        tracemalloc.start()
+        found = reader.read_batch(["<html><body><main>" + "<div>x" * depth + '<h1 class="title">T</h1>'])
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert found[0].to_pylist()[0][0]["value"] == "T"
+    assert peaks[1] < 2.6 * peaks[0] < 10**8
+
+
+def test_block_beside_the_jumbotron_not_inside(spark):
+    page = ('<html><body><main><div class="jumbotron"><div class="content">HERO</div></div>'
+            '<div><div class="content">BODY</div></div><h1 class="title">T</h1></main></body></html>')
+    got = extraction.extract(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"))
+    assert "BODY" in got.first().description and "HERO" not in got.first().description
+
+
+def test_no_break_space_after_phone_label(spark):
+    page = ('<html><body><main><h1 class="title">T</h1><dl><dt>Ansprechpunkt:</dt>'
+            '<dd><p class="tel">Tel:&nbsp;030 1</p></dd></dl></main></body></html>')
+    got = extraction.extract(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"))
+    assert got.first().contact_info_phone == "030 1"

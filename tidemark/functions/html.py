@@ -16,24 +16,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-_STEP, _PART = "\x1e", "\x1f"
-_ANY = r"[^\x1e\x1f]*"
+@dataclass(frozen=True)
+class Step:
+    """One level of a path; what is not given may be anything."""
+
+    tag: str
+    cls: str | None = None         # the exact class attribute
+    tokens: tuple[str, ...] = ()   # classes that must be among those given
+    title: str | None = None
+    nth: int | None = None         # position among the same tags below one parent
+
+    def fits(self, tag: str, number: int, cls: str, title: str) -> bool:
+        return (self.tag == tag and self.nth in (None, number) and self.cls in (None, cls)
+                and self.title in (None, title) and set(self.tokens) <= set(cls.split()))
+
+
+Path = tuple[Step | None, ...]
 
 
 def step(tag: str, cls: str | None = None, tokens: Sequence[str] = (),
-         title: str | None = None, nth: int | None = None) -> str:
-    """One level of a path: exact class, class tokens, title, position among same tags."""
-    wanted = "".join(
-        rf"(?=(?:{_ANY}\s)?{re.escape(t)}(?:\s{_ANY})?{_PART})" for t in tokens)
-    return _STEP + _PART.join((
-        re.escape(tag),
-        r"\d+" if nth is None else str(nth),
-        wanted + (_ANY if cls is None else re.escape(cls)),
-        _ANY if title is None else re.escape(title),
-    ))
+         title: str | None = None, nth: int | None = None) -> Path:
+    """A path of one level; paths are joined with ``+``."""
+    return (Step(tag, cls, tuple(tokens), title, nth),)
 
 
-ANYWHERE = r"(?:\x1e[^\x1e]*)*"
+ANYWHERE: Path = (None,)  # any number of levels
 
 
 @dataclass(frozen=True)
@@ -47,7 +54,7 @@ class Rule:
 
     name: str
     tag: str
-    path: str
+    path: Path
     take: str = "text"
     scope: str | None = None
 
@@ -78,6 +85,7 @@ _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
     rf"|<([a-zA-Z][^\s/>]*)((?:[\s/]++|{_INSIDE}|=)*+)>", re.S)
 _NONE: dict[str, str] = {}
+_UNASKED: tuple[set[int], bool, bool] = (set(), False, False)
 _SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/$""")
 
 
@@ -91,25 +99,74 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 class _Element:
-    __slots__ = ("tag", "path", "counts", "hits", "texts")
+    __slots__ = ("tag", "state", "counts", "hits", "texts")
 
-    def __init__(self, tag, path):
-        self.tag, self.path = tag, path
+    def __init__(self, tag, state):
+        self.tag, self.state = tag, state
         self.counts = None   # children seen, per tag
         self.hits = ()    # (rule, number, index of the value to fill at the end, start)
         self.texts = 0    # how many of them take text
 
 
 class _Reader:
-    """Walks the tags of a page with a stack of open elements; broken markup is no error."""
+    """Walks the tags of a page with a stack of open elements; broken markup is no error.
+
+    How far each rule's path has come is a small state that a child takes over from its
+    parent, so an open element costs the same at any depth.
+    """
 
     def __init__(self, rules: Sequence[Rule]):
+        self.rules = tuple(rules)
         self.names = [rule.name for rule in rules]
-        self.tags = {rule.tag for rule in rules}
-        self.rules = [(rule, re.compile(rule.path[rule.path.rindex(_STEP):]),
-                       re.compile(rule.path)) for rule in rules]
-        # Rules whose last step fits a kind of element; few kinds make up most of a site.
-        self.fitting: dict[tuple, list] = {}
+        self.scopes = {rule.scope for rule in rules if rule.scope}
+        # What steps ask of a tag, so that other attributes do not make new kinds of element.
+        self.asked: dict[str, tuple[set[int], bool, bool]] = {}
+        for wanted in {s for rule in rules for s in rule.path if s}:
+            nth, cls, title = self.asked.get(wanted.tag, (set(), False, False))
+            self.asked[wanted.tag] = (nth | {wanted.nth} - {None}, cls or wanted.cls is not None
+                                      or bool(wanted.tokens), title or wanted.title is not None)
+        self.states: dict[frozenset, int] = {}
+        self.places: list[frozenset] = []
+        self.moves: dict[tuple, tuple[int, tuple[Rule, ...]]] = {}
+        self.outside = self._state({(r, 0) for r in range(len(self.rules))})
+
+    def _state(self, places: set[tuple[int, int]]) -> int:
+        """Number of a set of (rule, next step); a step that may be skipped brings the next one."""
+        every = set(places)
+        for rule, at in places:
+            path = self.rules[rule].path
+            while at < len(path) and path[at] is None:
+                at += 1
+                every.add((rule, at))
+        found = frozenset(every)
+        if found not in self.states:
+            self.states[found] = len(self.places)
+            self.places.append(found)
+        return self.states[found]
+
+    def _move(self, state: int, tag: str, number: int, cls: str, title: str) -> tuple[int, tuple[Rule, ...]]:
+        """The state inside a child element, and the rules that end at it."""
+        nth, by_cls, by_title = self.asked.get(tag, _UNASKED)
+        kind = (state, tag if tag in self.asked else "", number if number in nth else 0,
+                cls if by_cls else "", title if by_title else "")
+        known = self.moves.get(kind)
+        if known is None:
+            if len(self.moves) > 10_000:
+                self.moves.clear()  # a memo only
+            inside, ended = set(), []
+            for rule, at in sorted(self.places[state]):
+                path = self.rules[rule].path
+                if at == len(path):
+                    continue
+                if path[at] is None:
+                    inside.add((rule, at))
+                elif path[at].fits(tag, number, cls, title):
+                    if at + 1 == len(path):
+                        ended.append(self.rules[rule])
+                    else:
+                        inside.add((rule, at + 1))
+            known = self.moves[kind] = (self._state(inside), tuple(dict.fromkeys(ended)))
+        return known
 
     def read_batch(self, pages: Iterable[str | None]) -> list[pa.Array]:
         """One list array per rule, one list per page; pieces are gathered column by column."""
@@ -129,7 +186,9 @@ class _Reader:
 
     def _read(self, html: str) -> None:
         self.html = html
-        self.open = [_Element("", "")]
+        self.open = [_Element("", self.outside)]
+        self.takers: list[_Element] = []   # open elements that take text
+        self.inner: dict[str, list[int]] = {name: [] for name in self.scopes}
         self.depths: dict[str, int] = {}   # open elements per tag
         self.seen = dict.fromkeys(self.names, 0)
         self.pos = self.texts = at = 0
@@ -150,10 +209,8 @@ class _Reader:
         self._close_to(1, len(html))
 
     def _add(self, rule: Rule, number: int, value: str | None) -> int:
-        scope = None
-        if rule.scope:
-            scope = next((n for element in reversed(self.open) for r, n, _, _ in element.hits
-                          if r.name == rule.scope), None)
+        around = self.inner[rule.scope] if rule.scope else None
+        scope = around[-1] if around else None
         for column, item in zip(self.found[rule.name], (number, scope, self.pos, value)):
             column.append(item)
         self.pos += 1
@@ -163,18 +220,21 @@ class _Reader:
         if "&" in text:
             text = unescape(text)
         top = self.open[-1]
-        for element in self.open:
-            if element.texts:
-                for rule, number, _, _ in element.hits:
-                    if rule.take == "all_text" or (rule.take == "text" and element is top):
-                        self._add(rule, number, text)
+        for element in self.takers:
+            for rule, number, _, _ in element.hits:
+                if rule.take == "all_text" or (rule.take == "text" and element is top):
+                    self._add(rule, number, text)
 
     def _close_to(self, depth: int, end: int) -> None:
         while len(self.open) > depth:
             element = self.open.pop()
             self.depths[element.tag] -= 1
-            self.texts -= element.texts
+            if element.texts:
+                self.texts -= element.texts
+                self.takers.pop()
             for rule, _, slot, start in element.hits:
+                if rule.name in self.inner:
+                    self.inner[rule.name].pop()
                 if slot is not None:
                     self.found[rule.name][3][slot] = self.html[start:end]
 
@@ -188,14 +248,14 @@ class _Reader:
         number = counts[tag] = counts.get(tag, 0) + 1
         given = _attributes(attributes) if len(attributes) > 1 else _NONE
         cls, title = given.get("class", ""), given.get("title", "")
-        path = f"{parent.path}{_STEP}{tag}{_PART}{number}{_PART}{cls}{_PART}{title}"
-        element = _Element(tag, path)
+        state, ended = self._move(parent.state, tag, number, cls, title)
+        element = _Element(tag, state)
         self.open.append(element)
         self.depths[tag] = self.depths.get(tag, 0) + 1
-        if tag in self.tags:
-            for rule, pattern in self._fitting(tag, number, cls, title):
-                if pattern.fullmatch(path):
-                    self._hit(element, rule, given, start)
+        for rule in ended:
+            self._hit(element, rule, given, start)
+        if element.texts:
+            self.takers.append(element)
         if tag in _VOID or attributes[-1:] == "/" and _SELF_CLOSED.search(attributes):
             self._close_to(len(self.open) - 1, end)
 
@@ -213,18 +273,6 @@ class _Reader:
             if self.open[depth].tag in barrier:
                 break
 
-    def _fitting(self, tag: str, number: int, cls: str, title: str) -> list:
-        kind = (tag, number, cls, title)
-        known = self.fitting.get(kind)
-        if known is None:
-            if len(self.fitting) > 10_000:
-                self.fitting.clear()
-            step = _STEP + _PART.join((tag, str(number), cls, title))
-            known = self.fitting[kind] = [
-                (rule, path) for rule, last, path in self.rules
-                if rule.tag == tag and last.fullmatch(step)]
-        return known
-
     def _hit(self, element: _Element, rule: Rule, given: dict[str, str], start: int) -> None:
         number = self.seen[rule.name]
         self.seen[rule.name] += 1
@@ -239,6 +287,8 @@ class _Reader:
             element.texts += 1
             self.texts += 1
         element.hits += ((rule, number, slot if rule.take == "html" else None, start),)
+        if rule.name in self.inner:
+            self.inner[rule.name].append(number)
 
     def _end(self, tag: str, start: int, end: int) -> None:
         if self.depths.get(tag):

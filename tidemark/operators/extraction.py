@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.html import ANYWHERE, PIECES, Rule, read_pieces, step
+from tidemark.functions.html import ANYWHERE, PIECES, Path, Rule, read_pieces, step
 from tidemark.functions.text import blank_to_null, first_group, split_list, strip
 from tidemark.schema import MARKDOWN_FIELDS
 
@@ -30,7 +30,8 @@ LABELS = {
 }
 SITE = "https://www.foerderdatenbank.de/"
 DETAIL_LINK_TITLE = "Öffnet die Einzelsicht"
-FAX, PHONE, EMAIL = r"Fax:\s*(.*)", r"Tel:\s*(.*)", r"mailto:(.*)"
+# (?U): white space of any script, no-break spaces included.
+FAX, PHONE, EMAIL = r"(?U)Fax:\s*(.*)", r"(?U)Tel:\s*(.*)", r"mailto:(.*)"
 # ----------------------------------------------------------------------------
 
 _MAIN = step("html") + step("body") + step("main")
@@ -39,8 +40,8 @@ _TAB = _MAIN + step("div", nth=2) + step("div") + step("div", nth=1) + step("h2"
 _CARD_LABEL = step("a", title=DETAIL_LINK_TITLE) + step("span", cls="link--label")
 
 
-def _in_dd(name: str, tag: str, *steps: str, take: str = "text") -> Rule:
-    return Rule(name, tag, _DD + ANYWHERE + "".join(steps), take, scope="dd")
+def _in_dd(name: str, tag: str, *steps: Path, take: str = "text") -> Rule:
+    return Rule(name, tag, sum(steps, _DD + ANYWHERE), take, scope="dd")
 
 
 DETAIL_RULES = (
@@ -50,7 +51,7 @@ DETAIL_RULES = (
          "html"),
     Rule("jumbotron", "div", ANYWHERE + step("main") + step("div", cls="jumbotron"), "mark"),
     Rule("block", "div", ANYWHERE + step("main") + step("div") + step("div", cls="content"),
-         "html"),
+         "html", "jumbotron"),
     Rule("dt", "dt", ANYWHERE + step("dt"), "mark"),
     Rule("dt_text", "dt", ANYWHERE + step("dt"), "text"),
     Rule("dd", "dd", _DD, "mark"),
@@ -144,7 +145,9 @@ def map_fields(pieces: DataFrame) -> DataFrame:
             F.concat(F.lit(SITE), F.regexp_replace(href, "^/", "")))
 
     first_jumbotron = F.get("jumbotron", F.lit(0)).pos
-    fallback = _first(F.filter("block", lambda b: b.pos > first_jumbotron))
+    # A block after the first jumbotron and beside it, never one inside a jumbotron.
+    fallback = _first(F.filter(
+        "block", lambda b: (b.pos > first_jumbotron) & b.scope.isNull()))
     no_tabs = F.size("tab") == 0
 
     fields: dict[str, Column] = {
