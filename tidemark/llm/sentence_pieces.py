@@ -1,7 +1,7 @@
 """N-best segmentation into pieces of a public vocabulary, and exact decoding.
 
-Texts are cut where no piece can cross (before a run of word marks, around signs that no
-piece of several characters holds). In each segment, forward Viterbi scores are exact
+Texts are cut where no piece can cross (before a run of word marks, between characters that
+no piece holds next to each other). In each segment, forward Viterbi scores are exact
 heuristics for a backward A-star search over the piece lattice, which then delivers
 segmentations in order of score. The best of a whole text joins the best of its segments;
 of its N best only the N-1 segments with the smallest loss to their second best can differ,
@@ -30,7 +30,7 @@ MARK = "▁"
 # A word mark that is part of the text itself, spelled with byte pieces to survive the trip.
 LITERAL_MARK = "\ud800"
 UNKNOWN_PENALTY = 10.0
-MEMO = 150_000
+MEMO = 250_000
 BEST = 4
 SCHEMA = ("doc_id long, n_pieces int, ids array<int>, score double, "
           "others array<struct<score: double, changes: array<struct<at: int, n: int, ids: array<int>>>>>")
@@ -53,15 +53,18 @@ class Vocabulary:
             raw = {i: -math.log(1 - v) - total for i, v in raw.items()}
         self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.unknown = min(raw.values()) - UNKNOWN_PENALTY
-        self.steps: dict[str, tuple[int, float]] = {}
         pieces = {model.id_to_piece(i): i for i in plain}
-        for piece in pieces:
-            for k in range(1, len(piece) + 1):
-                self.steps.setdefault(piece[:k], (-1, 0.0))
+        # A tree of characters; where a piece ends, "" holds its id and log probability.
+        self.tree: dict = {}
+        self.joined: set[tuple[str, str]] = set()
         for piece, i in pieces.items():
-            self.steps[piece] = (i, raw[i])
             if MARK in piece.lstrip(MARK):
                 raise ValueError(f"piece {piece!r} crosses a word boundary")
+            node = self.tree
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = (i, raw[i])
+            self.joined.update(zip(piece, piece[1:]))
         inside = set("".join(p for p in pieces if len(p) > 1))
         alone = "".join(c for c in "\n\t\r\v\f" + LITERAL_MARK if c not in inside)
         self.segments = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+|[{alone}]")
@@ -70,55 +73,100 @@ class Vocabulary:
 
     def edges(self, segment: str, start: int) -> list[tuple[int, tuple[int, ...], float]]:
         """(end, ids, score) of the pieces that begin at ``start``; bytes where there is none."""
-        found, single = [], False
-        for end in range(start + 1, len(segment) + 1):
-            step = self.steps.get(segment[start:end])
-            if step is None:
+        found, node = [], self.tree
+        for end in range(start, len(segment)):
+            node = node.get(segment[end])
+            if node is None:
                 break
-            if step[0] >= 0:
-                found.append((end, (step[0],), step[1]))
-                single = single or end == start + 1
-        if not single:
-            c = segment[start]
-            raw = MARK.encode() if c == LITERAL_MARK else c.encode("utf-8", "surrogateescape")
-            found.append((start + 1, tuple(self.bytes[b] for b in raw), self.unknown))
+            held = node.get("")
+            if held is not None:
+                found.append((end + 1, (held[0],), held[1]))
+        if not found or found[0][0] != start + 1:
+            found.append((start + 1, self.bytes_of(segment[start]), self.unknown))
         return found
 
+    def bytes_of(self, c: str) -> tuple[int, ...]:
+        raw = MARK.encode() if c == LITERAL_MARK else c.encode("utf-8", "surrogateescape")
+        return tuple(self.bytes[b] for b in raw)
+
+    def cut(self, segment: str) -> list[str]:
+        """The segment cut between neighbours that no piece joins."""
+        joined = self.joined
+        cuts = [k for k, pair in enumerate(zip(segment, segment[1:]), 1) if pair not in joined]
+        return [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
+
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def viterbi(v: Vocabulary, segment: str) -> tuple[tuple[int, ...], float, float, list[float], list[list]]:
-    """Best ids, their score, the loss of the second best, forward scores, incoming edges."""
-    n = len(segment)
+def viterbi(v: Vocabulary, segment: str) -> tuple[tuple[int, ...], float, float]:
+    """Best ids, their score, and the loss of the second best."""
+    n, tree = len(segment), v.tree
     first, second = [-math.inf] * (n + 1), [-math.inf] * (n + 1)
     first[0] = 0.0
-    back: list[tuple[int, tuple[int, ...]]] = [(0, ())] * (n + 1)
-    incoming: list[list] = [[] for _ in range(n + 1)]
+    came: list[int] = [0] * (n + 1)
+    by: list[int] = [0] * (n + 1)
     for start in range(n):
         one, two = first[start], second[start]
-        for end, ids, gain in v.edges(segment, start):
-            incoming[end].append((start, ids, gain))
-            total = one + gain
+        node, single = tree, False
+        for at in range(start, n):
+            node = node.get(segment[at])
+            if node is None:
+                break
+            held = node.get("")
+            if held is not None:
+                piece, gain = held
+                end = at + 1
+                if at == start:
+                    single = True
+                total, other = one + gain, two + gain
+                best = first[end]
+                if total > best:
+                    second[end] = best if best > other else other
+                    first[end], came[end], by[end] = total, start, piece
+                else:
+                    if other > total:
+                        total = other
+                    if total > second[end]:
+                        second[end] = total
+        if not single:
+            end, total, other = start + 1, one + v.unknown, two + v.unknown
             if total > first[end]:
-                second[end], first[end], back[end] = max(first[end], two + gain), total, (start, ids)
-            elif total > second[end]:
-                second[end] = total
-            elif two + gain > second[end]:
-                second[end] = two + gain
-    parts, at = [], n
+                second[end] = max(first[end], other)
+                first[end], came[end], by[end] = total, start, -1
+            else:
+                second[end] = max(second[end], total, other)
+    ids: list[int] = []
+    at = n
     while at:
-        at, ids = back[at]
-        parts.append(ids)
-    best = tuple(i for ids in reversed(parts) for i in ids)
-    return best, first[n], first[n] - second[n], first, incoming
+        start = came[at]
+        if by[at] >= 0:
+            ids.append(by[at])
+        else:
+            ids += reversed(v.bytes_of(segment[start]))
+        at = start
+    ids.reverse()
+    return tuple(ids), first[n], first[n] - second[n]
+
+
+def forward_scores(v: Vocabulary, segment: str) -> tuple[list[float], list[list]]:
+    """Best score up to every position, and the edges that end there."""
+    n = len(segment)
+    forward = [0.0] + [-math.inf] * n
+    incoming: list[list] = [[] for _ in range(n + 1)]
+    for start in range(n):
+        for end, ids, gain in v.edges(segment, start):
+            incoming[end].append((start, ids, gain))
+            forward[end] = max(forward[end], forward[start] + gain)
+    return forward, incoming
 
 
 def segment_best(v: Vocabulary, segment: str) -> Iterator[tuple[float, tuple[int, ...]]]:
     """All segmentations in order of score: backward A-star, exact forward scores as heuristics."""
-    best, score, _, forward, incoming = viterbi(v, segment)
+    best, score, _ = viterbi(v, segment)
+    forward, incoming = forward_scores(v, segment)
     yield score, best  # the search finds it first as well; ties come in order of discovery
     queue, count, skipped = [(-score, 0, len(segment), 0.0, ())], 0, False
     while queue:
@@ -134,13 +182,21 @@ def segment_best(v: Vocabulary, segment: str) -> Iterator[tuple[float, tuple[int
             heapq.heappush(queue, (-(forward[start] + gain + behind), count, start, gain + behind, piece + ids))
 
 
-def _others(v: Vocabulary, segments: list[str], loss: np.ndarray, starts: np.ndarray, total: float, n: int) -> list:
+def _others(v: Vocabulary, segments: list[str], loss: np.ndarray, starts: np.ndarray, total: float, n: int,
+            memo: dict[tuple[str, int], list]) -> list:
     """The second to ``n``-th best of a text, each as changes against the best."""
     k = min(n - 1, int(np.isfinite(loss).sum()))
     if k <= 0:
         return []
     chosen = np.sort(np.lexsort((np.arange(len(loss)), loss))[:k]).tolist()
-    lists = [list(islice(segment_best(v, segments[i]), n)) for i in chosen]
+    lists = []
+    for i in chosen:
+        known = memo.get((segments[i], n))
+        if known is None:
+            if len(memo) >= MEMO // 4:
+                memo.clear()
+            known = memo[segments[i], n] = list(islice(segment_best(v, segments[i]), n))
+        lists.append(known)
     queue, seen, out = [(0.0, (0,) * k)], {(0,) * k}, []
     while queue and len(out) < n:
         lost, picks = heapq.heappop(queue)
@@ -164,15 +220,30 @@ class Encoder:
         self.v = vocabulary(path)
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
+        self.lists: dict[tuple[str, int], list] = {}
 
-    def _segment(self, segment: str) -> tuple[bytes, float, float]:
-        known = self.old.get(segment)
+    def _part(self, part: str) -> tuple[bytes, float, float]:
+        known = self.young.get(part) or self.old.get(part)
         if known is None:
-            ids, score, loss, _, _ = viterbi(self.v, segment)
+            ids, score, loss = viterbi(self.v, part)
             known = (np.array(ids, dtype=np.int32).tobytes(), score, loss)
+        self._keep(part, known)
+        return known
+
+    def _keep(self, segment: str, known: tuple) -> None:
         if len(self.young) >= MEMO:
             self.old, self.young = self.young, {}
         self.young[segment] = known
+
+    def _segment(self, segment: str) -> tuple[bytes, float, float]:
+        known = self.old.get(segment)
+        if known is None:
+            parts = self.v.cut(segment)
+            if len(parts) == 1:
+                return self._part(segment)
+            found = [self._part(p) for p in parts]
+            known = (b"".join([f[0] for f in found]), sum(f[1] for f in found), min(f[2] for f in found))
+        self._keep(segment, known)
         return known
 
     def encode(self, text: bytes, n: int = BEST) -> tuple[np.ndarray, float, list]:
@@ -181,19 +252,14 @@ class Encoder:
             return np.zeros(0, dtype=np.int32), 0.0, []
         written = text.decode("utf-8", "surrogateescape").replace(MARK, LITERAL_MARK)
         segments = self.v.segments.findall(MARK + written.replace(" ", MARK))
-        young = self.young
-        found = []
-        for s in segments:
-            hit = young.get(s)
-            if hit is None:
-                hit = self._segment(s)
-                young = self.young
-            found.append(hit)
-        ids = np.frombuffer(b"".join([f[0] for f in found]), dtype=np.int32)
-        total = math.fsum(f[1] for f in found)
-        loss = np.array([f[2] for f in found])
-        sizes = np.array([len(f[0]) for f in found]) // 4
-        return ids, total, _others(self.v, segments, loss, np.cumsum(sizes) - sizes, total, n)
+        found = list(map(self.young.get, segments))
+        if None in found:
+            found = [hit or self.young.get(s) or self._segment(s) for hit, s in zip(found, segments)]
+        parts, scores, losses = zip(*found)
+        ids = np.frombuffer(b"".join(parts), dtype=np.int32)
+        total, loss = math.fsum(scores), np.array(losses)
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+        return ids, total, _others(self.v, segments, loss, np.cumsum(sizes) - sizes, total, n, self.lists)
 
 
 def decode_ids(ids: list[int] | np.ndarray, path: str = MODEL) -> bytes:
