@@ -1,10 +1,12 @@
 """Merges, replay and consolidation against plain Python on random histories."""
 
+import os
 import random
 from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.operators import audit, consolidate, merge, replay
@@ -72,14 +74,50 @@ def test_uncommitted_run_is_invisible_and_replaced(spark, folder):
     store = HistoryStore(spark, folder, spark.createDataFrame([], VERSION).schema)
     store.merge(snapshot_frame(spark, {"a": "A"}), 1, day(0), mode=merge.COMPLETE)
     # A run that died after writing rows but before its commit.
-    spark.createDataFrame([("x", "X", "X", day(1), None, 2)], VERSION).withColumn(
-        "part", F.lit("active")).write.partitionBy("part").parquet(f"{folder}/versions/run=2")
+    spark.createDataFrame([("x", "X", "X", day(1), None, 2)], VERSION).write.parquet(
+        f"{folder}/opened/run=2")
     assert rows(store.active().select("id_hash")) == [("a",)]
     store.merge(snapshot_frame(spark, {"a": "B"}), 2, day(1), mode=merge.COMPLETE)
     assert rows(store.active().select("id_hash", "title")) == [("a", "B")]
     assert rows(store.retired().select("title", "on_website_to")) == [("A", day(1))]
 
 
+def test_compaction_changes_no_rows_and_lost_folders_are_errors(spark, folder):
+    snapshots = random_snapshots(12, runs=5)
+    store = HistoryStore(spark, folder, spark.createDataFrame([], VERSION).schema)
+    for number, snapshot in enumerate(snapshots):
+        store.merge(snapshot_frame(spark, snapshot), number + 1, day(number), mode=merge.COMPLETE)
+        if number in (1, 3):
+            assert store.compact() == number + 1
+            assert store.compact() == number + 1
+    assert sorted(map(tuple, store.versions().collect()), key=repr) == brute_force(snapshots)
+    assert any("base/run=2" in path for path in store.superseded())
+    os.rename(f"{folder}/base/run=4/part=active", f"{folder}/lost")
+    with pytest.raises(AnalysisException):
+        store.active().count()
+
+
+def test_partial_run_writes_what_changes(spark, folder):
+    store = HistoryStore(spark, folder, spark.createDataFrame([], VERSION).schema)
+    store.merge(snapshot_frame(spark, {f"k{i}": f"{i}" for i in range(20_000)}), 0, day(0), mode=merge.COMPLETE)
+    store.merge(snapshot_frame(spark, {"k3": "new"}), 1, day(1), mode=merge.PARTIAL)
+
+    def size(name):
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(f"{folder}/{name}") for f in fs)
+
+    assert size("opened/run=1") + size("closed/run=1") < size("opened/run=0") / 20
+    assert store.active().count() == 20_000 and store.retired().count() == 1
+
+
+def test_other_watched_fields_fail_unless_meant(spark, folder):
+    store = HistoryStore(spark, folder, spark.createDataFrame([], VERSION).schema)
+    store.merge(snapshot_frame(spark, {"a": "A"}), 0, day(0), mode=merge.COMPLETE, watched=["title"])
+    with pytest.raises(ValueError, match="watches other fields"):
+        store.merge(snapshot_frame(spark, {"a": "A"}), 1, day(1), mode=merge.COMPLETE, watched=["title", "url"])
+    assert store.merge(snapshot_frame(spark, {"a": "A"}), 1, day(1), mode=merge.COMPLETE,
+                       watched=["title", "url"], new_watched=True)
+
+
 def test_partial_merge_never_retires_absent_keys(spark):
     active = spark.createDataFrame(
         [("a", "A", "A", day(0), None, 1), ("b", "B", "B", day(0), None, 1)], VERSION)

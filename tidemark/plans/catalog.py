@@ -52,11 +52,11 @@ def states(spark: SparkSession, folder: str, every: str = "day") -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.spread(tables.table(spark, folder, "pages"))
+    return tables.table(spark, folder, "pages")
 
 
 def details(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.detail_pages(tables.spread(tables.table(spark, folder, "documents")))
+    return inputs.detail_pages(tables.table(spark, folder, "documents"))
 
 
 def detail_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,7 +111,7 @@ def replaced_table(spark, folder):
     return publishing.flat_lists(spark.read.parquet(path))
 
 
-def merged_store(spark, folder):
+def _merged(spark, folder, compact_every: int | None = None) -> HistoryStore:
     """Weekly snapshots of the user states, merged run by run."""
     store = HistoryStore(spark, shared_folder(spark, "history"), _schema(spark, STATE_SCHEMA))
     weekly = store.materialise(states(spark, folder, "week"), "snapshots", 0)
@@ -119,7 +119,13 @@ def merged_store(spark, folder):
     for number, week in enumerate(weeks, 1):
         this_week = F.col("run_at") == F.lit(week.isoformat()).cast("timestamp_ntz")
         store.merge(weekly.filter(this_week), number, week, mode=merge.COMPLETE, staged=True)
-    return store.versions()
+        if compact_every and number % compact_every == 0:
+            store.compact()
+    return store
+
+
+def merged_store(spark, folder):
+    return _merged(spark, folder).versions()
 
 
 def _schema(spark, ddl):
@@ -263,25 +269,31 @@ def checked(spark, folder):
 
 # --- streaming --------------------------------------------------------------
 
-def _streamed(spark, stream, **options):
+def streamed_pages(spark, folder):
+    """Two streams into one store, each with half of the pages and its own checkpoint."""
     store = HistoryStore(spark, shared_folder(spark, "stream"))
-    ingest.ingest(
-        stream, store, f"{store.root}/checkpoint", lambda n: SCRAPED + timedelta(days=n),
-        rules=extraction.ARTICLE_RULES, markers=PAGE_MARKERS, **options,
-    ).awaitTermination()
+    half = F.pmod(F.col("page_id"), F.lit(2))
+    for number in range(2):
+        slices = shared_folder(spark, "slices")
+        (pages(spark, folder).where(half == number).repartition(2, "page_id")
+         .write.parquet(slices))
+        ingest.ingest(
+            ingest.page_stream(spark, slices, files_per_batch=1), store,
+            f"{store.root}/checkpoint-{number}", lambda n: SCRAPED + timedelta(days=n),
+            rules=extraction.ARTICLE_RULES, markers=PAGE_MARKERS).awaitTermination()
     return store.active().select("id_hash", "id_url")
 
 
-def streamed_pages(spark, folder):
-    """The pages cut into four files, one per micro-batch; the table itself is one file."""
-    slices = shared_folder(spark, "slices")
-    pages(spark, folder).repartition(4, "page_id").write.parquet(slices)
-    return _streamed(spark, ingest.page_stream(spark, slices, files_per_batch=1))
+def compacted_store(spark, folder):
+    """Weekly snapshots merged run by run with a compaction after every third run."""
+    return _merged(spark, folder, compact_every=3).versions()
 
 
-def streamed_with_cap(spark, folder):
-    return _streamed(
-        spark, ingest.page_stream(spark, folder, pattern="pages.parquet"), items=50)
+def rejected_records(spark, folder):
+    """What a run rejects, read back from its report: records without title are issues."""
+    store = HistoryStore(spark, shared_folder(spark, "reports"))
+    run.load_run(details(spark, folder), store, 0, SCRAPED, mode=merge.COMPLETE)
+    return run.run_report(store, "issues").select("page_id", "reason")
 
 
 # --- the catalogue ----------------------------------------------------------
@@ -427,7 +439,8 @@ QUERIES: dict[str, Query] = {
         current, lambda df: analytics.has_null(df, "on_website_from")),
     "a16_pick_deleted": _over(current, analytics.pick_deleted, "id_hash", "deleted"),
     "t1_streamed_pages": streamed_pages,
-    "t2_streamed_with_cap": streamed_with_cap,
+    "s4_compacted_store": compacted_store,
+    "x15_issues_of_a_run": rejected_records,
     "u1_markdown_of_articles": _over(
         lambda s, d: extraction.extract(pages(s, d), extraction.ARTICLE_RULES),
         lambda df: df.select("page_id", html_to_markdown("description").alias("markdown"))),

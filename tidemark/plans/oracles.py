@@ -274,6 +274,7 @@ ORACLES: dict[str, str] = {
     "s2_page_source": "SELECT page_id, url, CAST(length(html) AS INTEGER) AS html_chars FROM pages",
     "s3_replace_table": _on_v(f"SELECT {_V_COLUMNS} FROM v"),
     "s4_history_store": _replay("week"),
+    "s4_compacted_store": _replay("week"),
     "s5_read_versions": _on_v("SELECT id_hash, title, on_website_from, on_website_to FROM v "
                               "WHERE on_website_to IS NOT NULL"),
     "s6_full_parquet": _on_cur(f"SELECT {_CUR_COLUMNS} FROM cur"),
@@ -350,6 +351,11 @@ FROM x"""),
 SELECT page_id, 'no title' AS reason FROM x WHERE title IS NULL
 UNION ALL SELECT page_id, 'no content' FROM x WHERE bare
 UNION ALL SELECT page_id, 'no data' FROM x WHERE bare AND title IS NOT NULL
+UNION ALL SELECT page_id, 'unknown tab' FROM x WHERE tabbed"""),
+    "x15_issues_of_a_run": _on_x("""
+SELECT page_id, 'no title' AS reason FROM x WHERE title IS NULL
+UNION ALL SELECT page_id, 'no content' FROM x WHERE bare
+UNION ALL SELECT page_id, 'no data' FROM x WHERE bare AND title IS NOT NULL
 UNION ALL SELECT page_id, 'unknown tab' FROM x WHERE tabbed"""),
     "i1_slugs": f"SELECT page_id, {_PAGE_SLUG} AS id_url FROM pages",
     "i2_keys": _on_x("SELECT page_id, url, id_url, md5(id_url) AS id_hash FROM x"),
@@ -492,10 +498,6 @@ FROM cur WHERE deleted AND last_updated <> (SELECT min(last_updated) FROM cur) G
     "t1_streamed_pages": f"""
 SELECT DISTINCT md5({_PAGE_SLUG}) AS id_hash, {_PAGE_SLUG} AS id_url FROM pages
 WHERE {_TITLE} <> ''""",
-    "t2_streamed_with_cap": f"""
-SELECT md5({_PAGE_SLUG}) AS id_hash, {_PAGE_SLUG} AS id_url FROM pages
-QUALIFY row_number() OVER (PARTITION BY {_PAGE_SLUG} ORDER BY page_id, url) = 1
-ORDER BY url LIMIT 50""",
     "u2_rules_for_articles": "SELECT page_id, 'no title' AS reason FROM pages WHERE "
                              f"{_TITLE} = ''",
 }

@@ -14,7 +14,6 @@ from tidemark.functions.text import SLUG_MARKERS
 from tidemark.operators import extraction, identity
 from tidemark.operators.consolidate import consolidate_parts
 from tidemark.operators.identity import require_unique
-from tidemark.operators.merge import PARTIAL
 from tidemark.operators.publishing import min_table, with_markdown
 from tidemark.schema import LICENSE_TEXT, PROGRAM_SCHEMA, WATCHED_FIELDS
 from tidemark.sources.history_store import HistoryStore
@@ -59,30 +58,48 @@ def split(checked: DataFrame, repeated: DataFrame | None = None) -> Snapshot:
 
 
 def load_run(pages: DataFrame, store: HistoryStore, run: int, run_at: datetime, *,
-             mode: str, items: int | None = None, **layout) -> bool:
+             mode: str, source: str | None = None, batch: int | None = None,
+             rules: Sequence[Rule] = extraction.DETAIL_RULES,
+             markers: Sequence[str] = SLUG_MARKERS) -> bool:
     """One scheduled run into the store: extract, check, merge, commit.
 
-    ``items`` takes the first records in order of URL only, for trial runs (T2). Such a run
-    is never complete, so it must not be merged as one.
+    What a run sets aside is kept beside it: ``rejected`` records, page ``issues`` and
+    ``repeated`` keys are tables of the run (``run_report`` reads them).
     """
-    if items is not None and mode != PARTIAL:
-        raise ValueError("a capped run must be merged in partial mode")
     if run in store.runs():
         return False
-    checked = store.materialise(read_records(pages, run_at, **layout), "extracted", run)
+    checked = store.materialise(read_records(pages, run_at, rules=rules, markers=markers), "extracted", run)
     repeated = store.materialise(split(checked).repeated, "repeated", run)
-    taken = split(checked, repeated).records
-    if items is not None:
-        taken = taken.orderBy("url").limit(items)
-    return store.merge(taken, run, run_at, mode=mode, watched=WATCHED_FIELDS,
-                       staged=items is None)
+    found = split(checked, repeated)
+    store.materialise(found.rejected, "rejected", run)
+    store.materialise(found.issues, "issues", run)
+    return store.merge(found.records, run, run_at, mode=mode, watched=WATCHED_FIELDS,
+                       staged=True, source=source, batch=batch)
+
+
+REPORTS = ("rejected", "issues", "repeated")
+
+
+def run_report(store: HistoryStore, name: str) -> DataFrame:
+    """A report of all committed runs, with the ``run`` it belongs to."""
+    if name not in REPORTS:
+        raise ValueError(f"name must be one of {REPORTS}")
+    every = store.spark.read.parquet(f"{store.root}/{name}")
+    return every.join(store.commits().select("run"), "run", "left_semi")
 
 
 def publish_history(store: HistoryStore, folder: str) -> DataFrame:
-    """Consolidates the store, checks the key, writes every published file."""
+    """Consolidates the store, checks the key, writes every published file.
+
+    The table is written to a folder of its own and checked there. Only a table that passes
+    replaces the published one, so a repeated key leaves the last publication as it was.
+    """
     columns = PROGRAM_SCHEMA.fieldNames()[1:]
-    write_parquet(consolidate_parts(store.active(), store.retired(), columns),
-                  f"{folder}/data.parquet")
-    full = require_unique(store.spark.read.parquet(f"{folder}/data.parquet"))
+    candidate = f"{folder}/candidates/run={max(store.runs(), default=-1)}"
+    write_parquet(consolidate_parts(store.active(), store.retired(), columns), candidate)
+    full = store.spark.read.parquet(candidate)
+    require_unique(full).agg(F.count("*")).collect()
+    write_parquet(full, f"{folder}/data.parquet")
+    full = store.spark.read.parquet(f"{folder}/data.parquet")
     publish_min(with_markdown(min_table(full)), folder, LICENSE_TEXT)
     return full

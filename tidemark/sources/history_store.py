@@ -1,13 +1,16 @@
 """The version table on plain Parquet: S4, with run by run commits.
 
-    versions/run=N/part=active    every version valid after run N
-    versions/run=N/part=retired   versions that run N retired
-    staged/run=N                  the snapshot of run N, written once, not computed twice
-    changes/run=N                 keys that run N opened or closed
-    commits/run=N                 one row, written last; a run without it does not exist
-
-Nothing is ever overwritten that a committed run reads. A run that failed half way, or is
-started again, replaces its own folders only, so repeating it gives the same state.
+    opened/run=N    versions that run N opened, written once and never again
+    closed/run=N    key, load and end of the versions that run N closed
+    base/run=N      all versions after run N in one place (part=active, part=retired)
+    commits/run=N   one row, written last; a run without it does not exist
+    bases/run=N     one row, written last; a base without it does not exist
+    staged/run=N, changes/run=N and others: what a run writes on its way
+
+A run writes in proportion to what it changes; ``compact`` rewrites everything into a new
+base, clustered by key. Nothing is overwritten that a committed run reads: a run that failed
+half way, or is started again, replaces its own folders only. Commits hold the numbers of
+rows, so a lost folder is an error and never an empty table. One writer at a time.
 """
 
 from __future__ import annotations
@@ -16,14 +19,16 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.merge import apply_changes, plan_changes
+from tidemark.operators.merge import plan_changes
 from tidemark.schema import VERSION_COLUMNS, VERSION_SCHEMA, VersionColumns
 
-_COMMIT = "run long, run_at timestamp_ntz, mode string, watched string"
+_COMMIT = ("run long, run_at timestamp_ntz, mode string, watched string, source string, "
+           "batch long, opened long, closed long")
+_BASE = "run long, active long, retired long"
 
 
 class HistoryStore:
@@ -32,37 +37,64 @@ class HistoryStore:
         self.spark, self.root = spark, root.rstrip("/")
         self.schema, self.names = schema, names
 
-    def commits(self) -> DataFrame:
-        """One row per finished run: its number, time, mode and the fields it watched."""
+    def _markers(self, name: str, schema: str) -> DataFrame:
         try:
-            return self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits/run=*")
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/run=*")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _COMMIT)
+            return self.spark.createDataFrame([], schema)
+
+    def commits(self) -> DataFrame:
+        """One row per finished run: number, time, mode, watched fields, source, row counts."""
+        return self._markers("commits", _COMMIT)
+
+    def _state(self) -> tuple[list[Row], Row | None]:
+        """All commits in order of run (one narrow row each) and the newest base."""
+        commits = sorted(self.commits().collect(), key=lambda row: row.run)
+        bases = sorted(self._markers("bases", _BASE).collect(), key=lambda row: row.run)
+        return commits, bases[-1] if bases else None
 
     def runs(self) -> list[int]:
-        # Run numbers only: as many as there were runs.
-        return sorted(row.run for row in self.commits().select("run").collect())
+        return [row.run for row in self._state()[0]]
 
-    def _read(self, path: str) -> DataFrame:
-        """A part by its own path: parts of other runs are not even listed."""
-        try:
-            found = self.spark.read.schema(self.schema).parquet(path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], self.schema)
-        return found.select(*self.schema.fieldNames())
+    def _stored(self, paths: list[str], schema: T.StructType) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _closing_schema(self) -> T.StructType:
+        names = self.names
+        return T.StructType([self.schema[c] for c in (names.key, names.load, names.valid_to)])
+
+    def _parts(self, state: tuple[list[Row], Row | None]) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Versions that were open in the base or opened since, closings since, base's retired."""
+        commits, base = state
+        later = [row for row in commits if base is None or row.run > base.run]
+        open_paths = [f"{self.root}/opened/run={row.run}" for row in later if row.opened]
+        closed_paths = [f"{self.root}/closed/run={row.run}" for row in later if row.closed]
+        retired_paths = []
+        if base is not None:
+            at = f"{self.root}/base/run={base.run}"
+            open_paths += [f"{at}/part=active"] if base.active else []
+            retired_paths += [f"{at}/part=retired"] if base.retired else []
+        return (self._stored(open_paths, self.schema), self._stored(closed_paths, self._closing_schema()),
+                self._stored(retired_paths, self.schema))
+
+    def _active(self, state) -> DataFrame:
+        opened, closed, _ = self._parts(state)
+        return opened.join(closed, [self.names.key, self.names.load], "left_anti").select(
+            *self.schema.fieldNames())
 
     def active(self) -> DataFrame:
-        """H5 by layout: the active part of the newest committed run, a plain scan."""
-        newest = max(self.runs(), default=-1)
-        return self._read(f"{self.root}/versions/run={newest}/part=active")
+        """H5: base and later openings without what was closed since."""
+        return self._active(self._state())
 
     def retired(self) -> DataFrame:
-        runs = ",".join(map(str, self.runs()))
-        return self._read(f"{self.root}/versions/run={{{runs or -1}}}/part=retired")
+        opened, closed, retired = self._parts(self._state())
+        names = self.names
+        ended = opened.drop(names.valid_to).join(closed, [names.key, names.load])
+        return ended.select(*self.schema.fieldNames()).unionByName(retired)
 
     def versions(self) -> DataFrame:
         return self.active().unionByName(self.retired())
@@ -77,36 +109,85 @@ class HistoryStore:
         frame.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def _mark(self, name: str, run: int, values: tuple, schema: str) -> None:
+        self.spark.createDataFrame([values], schema).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.root}/{name}/run={run}")
+
+    def find(self, source: str, batch: int) -> int | None:
+        """The run that committed this batch of this source, if any."""
+        found = [row.run for row in self._state()[0] if (row.source, row.batch) == (source, batch)]
+        return found[0] if found else None
+
+    def next_run(self) -> int:
+        return max(self.runs(), default=-1) + 1
+
     def merge(self, snapshot: DataFrame, run: int, run_at: datetime, *, mode: str,
               merge_key: Sequence[str] | None = None, watched: Sequence[str] = (),
-              staged: bool = False) -> bool:
+              staged: bool = False, source: str | None = None, batch: int | None = None,
+              new_watched: bool = False) -> bool:
         """One run: merges ``snapshot`` and commits. False if the run is committed already.
 
-        ``staged`` says that the snapshot is a cheap read of stored rows already.
+        ``staged`` says that the snapshot is a cheap read of stored rows already. Watching
+        other fields than the last run would reopen every version, so it fails unless
+        ``new_watched`` says that this is meant.
         """
-        committed = self.runs()
-        if run in committed:
+        state = commits, _ = self._state()
+        if any(row.run == run for row in commits):
             return False
-        if committed and run < committed[-1]:
-            raise ValueError(f"run {run} is older than committed run {committed[-1]}")
+        if commits and run < commits[-1].run:
+            raise ValueError(f"run {run} is older than committed run {commits[-1].run}")
+        fields = ",".join(sorted(watched))
+        if commits and fields != commits[-1].watched and not new_watched:
+            raise ValueError(f"run {run} watches other fields than run {commits[-1].run}")
         names = self.names
         record = [c for c in self.schema.fieldNames()
                   if c not in (names.valid_from, names.valid_to, names.load)]
         taken = snapshot.select(*record)
         if not staged:
             taken = self.materialise(taken, "staged", run)
-        active = self.active()
+        active = self._active(state)
         changes = self.materialise(
-            plan_changes(active, taken, mode=mode, merge_key=merge_key, names=names),
-            "changes", run)
-        merged = apply_changes(
-            active, taken, changes, F.lit(run_at.isoformat()).cast("timestamp_ntz"),
-            F.lit(run).cast("long"), names)
-        # One write for both parts, so the merge is computed once.
-        (merged.withColumn("part", F.when(F.col(names.valid_to).isNull(), "active")
-                           .otherwise("retired"))
-         .write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/versions/run={run}"))
-        self.spark.createDataFrame(
-            [(run, run_at, mode, ",".join(sorted(watched)))], _COMMIT
-        ).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/run={run}")
+            plan_changes(active, taken, mode=mode, merge_key=merge_key, names=names), "changes", run)
+        at = F.lit(run_at.isoformat()).cast("timestamp_ntz")
+        opening = changes.filter("opens").select(names.key)
+        opened = self.materialise(taken.join(opening, names.key, "left_semi").withColumns({
+            names.valid_from: at, names.load: F.lit(run).cast("long"),
+            names.valid_to: F.lit(None).cast(self.schema[names.valid_to].dataType),
+        }).select(*self.schema.fieldNames()), "opened", run)
+        closing = changes.filter("closes").select(names.key)
+        closed = self.materialise(
+            active.select(names.key, names.load).join(closing, names.key, "left_semi")
+            .withColumn(names.valid_to, at).select(*self._closing_schema().fieldNames()), "closed", run)
+        self._mark("commits", run, (run, run_at, mode, fields, source, batch,
+                                    opened.count(), closed.count()), _COMMIT)
         return True
+
+    def compact(self) -> int | None:
+        """Writes a new base after the newest run, clustered by key; returns its run.
+
+        Readers that began on the old base still find it: ``superseded`` names the folders
+        that new readers no longer need.
+        """
+        commits, base = self._state()
+        if not commits or (base is not None and base.run == commits[-1].run):
+            return base.run if base is not None else None
+        run, names = commits[-1].run, self.names
+        every = self.versions().withColumn(
+            "part", F.when(F.col(names.valid_to).isNull(), "active").otherwise("retired"))
+        path = f"{self.root}/base/run={run}"
+        (every.repartitionByRange("part", names.key).sortWithinPartitions("part", names.key)
+         .write.mode("overwrite").partitionBy("part").parquet(path))
+        written = {row.part: row["count"] for row in
+                   self.spark.read.parquet(path).groupBy("part").count().collect()}
+        self._mark("bases", run, (run, written.get("active", 0), written.get("retired", 0)), _BASE)
+        return run
+
+    def superseded(self) -> list[str]:
+        """Folders of openings, closings and bases that the newest base has taken in."""
+        commits, base = self._state()
+        if base is None:
+            return []
+        old = [f"{self.root}/{name}/run={row.run}" for row in commits if row.run <= base.run
+               for name, n in (("opened", row.opened), ("closed", row.closed)) if n]
+        older = [row.run for row in self._markers("bases", _BASE).collect() if row.run < base.run]
+        return old + [f"{self.root}/base/run={run}" for run in sorted(older)]

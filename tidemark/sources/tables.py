@@ -17,16 +17,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deals the rows of a small scan to all cores, ahead of costly work per row.
-
-    A scan with a split for every core, as any large table has, passes as it is: there is
-    no shuffle of page text at scale. For plain scans only; it plans but runs nothing.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def seed_urls(spark: SparkSession, urls: Sequence[str] | DataFrame = (),
               file: str | None = None) -> DataFrame:
     """Configured URLs and those of a text file, trimmed, blank lines dropped, distinct."""
@@ -41,7 +31,10 @@ def seed_urls(spark: SparkSession, urls: Sequence[str] | DataFrame = (),
 def versions_from_database(spark: SparkSession, url: str, query: str, *,
                            partition_column: str, lower: int, upper: int,
                            partitions: int, **options) -> DataFrame:
-    """A version table held in a database, read by many tasks over a numeric column."""
+    """A version table held in a database, read by many tasks over a numeric column.
+
+    Untested: no database may be started here.
+    """
     return (
         spark.read.format("jdbc")
         .options(url=url, dbtable=f"({query}) AS versions", fetchsize=READ_BATCH,

@@ -1,4 +1,8 @@
-"""Pages that arrive as files, merged batch by batch: T1 and T2."""
+"""Pages that arrive as files, merged batch by batch: T1.
+
+A batch is bounded by its number of files (``files_per_batch``), which loses nothing; there is
+no cap on records.
+"""
 
 from __future__ import annotations
 
@@ -27,17 +31,26 @@ def page_stream(spark: SparkSession, folder: str, files_per_batch: int = 50,
             .option("pathGlobFilter", pattern).parquet(folder))
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query when it made the checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first().id
+
+
 def ingest(stream: DataFrame, store: HistoryStore, checkpoint: str,
-           run_at: Callable[[int], datetime], *, items: int | None = None,
-           **layout) -> StreamingQuery:
-    """Every micro-batch is one partial run of the store.
+           run_at: Callable[[int], datetime], **layout) -> StreamingQuery:
+    """Every micro-batch is one partial run of the store.
 
     A micro-batch never shows the whole site, so the merge is always the partial one. The
-    batch number is the run number: a batch replayed after a failure finds its commit and
-    changes nothing. ``items`` caps the records of a batch, for trial runs.
+    store hands out the run number and commits it with the id of the checkpoint and the batch
+    number: a batch replayed after a failure finds its commit and changes nothing. Another
+    stream, or the same one after its checkpoint was lost, has another id, so all of its
+    batches are merged; pages seen before make no new version.
     """
     def merge(batch: DataFrame, number: int) -> None:
-        load_run(batch, store, number, run_at(number), mode=PARTIAL, items=items, **layout)
+        source = _query_id(store.spark, checkpoint)
+        if store.find(source, number) is None:
+            load_run(batch, store, store.next_run(), run_at(number), mode=PARTIAL,
+                     source=source, batch=number, **layout)
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
