@@ -20,22 +20,28 @@ def hot(spark):
 def test_attach_per_key_is_an_inner_join(spark, hot):
     per_key = hot.groupBy("key").agg(F.count("*").alias("rows"), F.min("n").alias("first"))
     per_key = per_key.filter("key <> 'k3'")
-    got = attach_per_key(hot, per_key, ["key"], "rows")
+    got = attach_per_key(hot, per_key, ["key"], "rows", salt="n", rows_per_task=100)
     want = hot.join(per_key, "key")
     assert sorted(got.select(*want.columns).collect()) == sorted(want.collect())
 
 
-def test_hot_rows_spread_over_salts(spark, hot):
-    per_key = hot.groupBy("key").agg(F.count("*").alias("rows"))
-    plan = attach_per_key(hot, per_key, ["key"], "rows")._jdf.queryExecution().toString()
-    assert "_salt" in plan and "Cartesian" not in plan
+def test_no_reducer_takes_more_than_its_share(spark):
+    """Half of all rows under one key: salts follow the count."""
+    rows = spark.range(8000).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("key"), F.col("id").alias("n"))
+    per_key = rows.groupBy("key").agg(F.count("*").alias("rows"))
+    joined = attach_per_key(rows, per_key, ["key"], "rows", salt="n", rows_per_task=100)
+    assert joined.count() == 8000
+    salts = rows.filter("key = 'hot'").groupBy(F.pmod(F.xxhash64("n"), F.lit(40))).count()
+    assert salts.agg(F.max("count")).first()[0] < 200
 
 
-@pytest.mark.parametrize("block", [1, 7, 100_000])
-def test_running_totals(spark, block):
-    values = [(i, (i * 37) % 11) for i in range(0, 300, 3)]
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_running_totals(spark, parts):
+    rng = random.Random(parts)
+    values = sorted((rng.getrandbits(63), (i * 37) % 11) for i in range(100))
     frame = spark.createDataFrame(values, "page long, v long").repartition(5)
-    got = running_totals(frame, "page", {"total": "v"}, block=block).orderBy("page").collect()
+    got = running_totals(frame, "page", {"total": "v"}, parts=parts).orderBy("page").collect()
     total = 0
     for row, (page, value) in zip(got, values):
         total += value

@@ -9,59 +9,54 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stored
 
-# A key is hot when it holds more than this share of the rows, so there can never be
-# more than 1 / HOT_SHARE hot keys: that bound is what makes broadcasting them safe.
-HOT_SHARE = 1 / 500
-SALTS = 64
+# Rows of one key that one task is meant to take; a key with more is dealt to several.
+ROWS_PER_TASK = 1_000_000
 
 
-def attach_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str],
-                   count: str, hot_share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
+def attach_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], count: str,
+                   salt: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Inner join of many rows per key to one row per key, hot keys spread by salt.
 
     ``per_key`` holds each key's row count in ``count``, as produced by the aggregate that
-    made it. Rows of hot keys are spread over ``salts`` reducers and the one row of such a
-    key is repeated as often; all other keys join as they are. Nothing is left out.
-    ``per_key`` is used three times, so it is written to the shared folder first.
+    made it. A key gets as many salts as it has times ``rows_per_task`` rows, so no reducer
+    gets more, however hot a key is; the one row of such a key is repeated as often. Rows are
+    dealt by a hash of the narrow column ``salt``. Keys with more than one salt number at
+    most rows / ``rows_per_task``, which bounds what the first join looks up. Nothing is
+    left out. ``per_key`` is used twice, so it is written to the shared folder first.
     """
     keys = list(keys)
-    per_key = stored(per_key, "per-key")
-    total = per_key.select(F.sum(count)).scalar()
-    flagged = per_key.withColumn("_hot", F.col(count) > total * F.lit(hot_share))
-    hot = flagged.filter("_hot").select(*keys, F.lit(True).alias("_hot"))
-    spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    salted = (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.coalesce(spread, F.lit(0))).drop("_hot")
-    )
-    copies = flagged.withColumn(
-        "_salt",
-        F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                  .otherwise(F.array(F.lit(0)))),
-    ).drop("_hot")
+    per_key = stored(per_key.withColumn(
+        "_salts", F.ceil(F.col(count) / rows_per_task).cast("int")), "per-key")
+    hot = per_key.filter("_salts > 1").select(*keys, "_salts")
+    dealt = F.pmod(F.xxhash64(salt), F.coalesce("_salts", F.lit(1))).cast("int")
+    salted = rows.join(hot, keys, "left").withColumn("_salt", dealt).drop("_salts")
+    copies = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
     return salted.join(copies, [*keys, "_salt"]).drop("_salt")
 
 
 def running_totals(rows: DataFrame, order: str, totals: dict[str, str],
-                   block: int = 100_000) -> DataFrame:
-    """Running sums over a whole table ordered by a unique integer, without one big window.
+                   parts: int | None = None) -> DataFrame:
+    """Running sums over a whole table ordered by a unique column, without one big window.
 
-    ``totals`` maps result column to summed column. Each block of ``order`` values is
-    summed on its own; only one row per block passes through the global window.
+    ``totals`` maps result column to summed column. Rows are dealt by range of ``order`` to
+    ``parts`` partitions (Spark's shuffle partitions unless given), whatever its values look
+    like, and written. Each is summed on its own; one row per partition passes through the
+    global window.
     """
-    blocks = rows.withColumn("_block", F.floor(F.col(order) / block))
-    per_block = blocks.groupBy("_block").agg(
+    by = [] if parts is None else [parts]
+    ranged = stored(rows.repartitionByRange(*by, order).withColumn("_part", F.spark_partition_id()), "ranged")
+    per_part = ranged.groupBy("_part").agg(
         *[F.sum(src).alias(f"_sum_{out}") for out, src in totals.items()]
     )
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.select(
-        "_block",
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select(
+        "_part",
         *[F.coalesce(F.sum(f"_sum_{out}").over(before), F.lit(0)).alias(f"_off_{out}")
           for out in totals],
     )
-    within = Window.partitionBy("_block").orderBy(order).rowsBetween(
+    within = Window.partitionBy("_part").orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0)
-    joined = blocks.join(offsets, "_block")
+    joined = ranged.join(F.broadcast(offsets), "_part")  # one row per partition
     return joined.withColumns(
         {out: F.col(f"_off_{out}") + F.sum(src).over(within) for out, src in totals.items()}
-    ).drop("_block", *[f"_off_{out}" for out in totals])
+    ).drop("_part", *[f"_off_{out}" for out in totals])

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 RECENT_DAYS = 30  # fixed value
 
 
@@ -118,10 +120,31 @@ def recent(df: DataFrame, as_of: Column, days: int = RECENT_DAYS,
 
 
 def recent_against_all(df: DataFrame, column: str, as_of: Column, *, deleted: bool,
-                       days: int = RECENT_DAYS) -> DataFrame:
-    """A3 on A13: share per category among recently deleted or added rows and among all."""
+                       days: int = RECENT_DAYS, date: str = "on_website_from") -> DataFrame:
+    """A3 on A13: share per category among recently deleted or added rows and among all.
+
+    One pass: rows carry whether they count as recent, and the numbers of rows are kept as
+    the count of a category that every row has.
+    """
     wanted = F.col("deleted") if deleted else ~F.col("deleted")
-    return compare_shares(recent(df, as_of, days).filter(wanted), df, column)
+    late = F.col(date) > as_of - F.expr(f"INTERVAL {int(days)} DAYS")
+    flagged = df.select(F.coalesce(late & wanted, F.lit(False)).alias("_recent"), F.explode(F.concat(
+        F.array(F.struct(F.lit(True).alias("all"), F.lit(None).cast("string").alias("category"))),
+        F.transform(F.coalesce(F.array_distinct(column), F.array().cast("array<string>")),
+                    lambda c: F.struct(F.lit(False).alias("all"), c.alias("category"))))).alias("c"))
+    counts = flagged.groupBy("c.all", "c.category").agg(
+        F.count_if("_recent").alias("_recent"), F.count(F.lit(1)).alias("_n"))
+    counts = stored(counts, "category-counts")
+    totals = counts.filter("all").select(F.col("_recent").alias("_rows_recent"), F.col("_n").alias("_rows"))
+    row = totals.first()
+    if row is None:
+        return counts.select("category", F.lit(0.0).alias("recent_share"), F.lit(0.0).alias("total_share")).filter("false")
+    return (
+        counts.filter("NOT all AND category IS NOT NULL AND _recent > 0")
+        .select("category", (F.col("_recent") / row._rows_recent * 100).alias("recent_share"),
+                (F.col("_n") / row._rows * 100).alias("total_share"))
+        .orderBy("recent_share", "category")
+    )
 
 
 def first_rows(df: DataFrame, order: str, n: int = 5) -> DataFrame:
@@ -130,8 +153,21 @@ def first_rows(df: DataFrame, order: str, n: int = 5) -> DataFrame:
 
 
 def row_at(df: DataFrame, order: str, position: int) -> DataFrame:
-    """The row at a position, counted from 0."""
-    return df.orderBy(order).offset(position).limit(1)
+    """The row at a position, counted from 0; none beyond the end.
+
+    Rows are dealt by range of ``order`` and written; the counts per partition tell which
+    one holds the position, and only that one is sorted. Nulls come first.
+    """
+    ranged = stored(df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "ranged")
+    counts = sorted((r._part, r["count"]) for r in ranged.groupBy("_part").count().collect())
+    before = 0
+    for part, n in counts:
+        if position < before + n:
+            within = Window.orderBy(order)
+            return (ranged.filter(F.col("_part") == part).withColumn("_at", F.row_number().over(within))
+                    .filter(F.col("_at") == position - before + 1).drop("_part", "_at"))
+        before += n
+    return df.filter("false")
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

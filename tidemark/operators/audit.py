@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.skew import attach_per_key
 from tidemark.schema import VERSION_COLUMNS, VersionColumns
+from tidemark.session import stored
 
 RECONCILE_TOLERANCE = 2  # fixed value
 
@@ -22,18 +23,22 @@ def drop_duplicate_versions(versions: DataFrame,
                             names: VersionColumns = VERSION_COLUMNS) -> DataFrame:
     """The newest load of each key and content; among equals the latest start.
 
-    An aggregate rather than a window, so a group of many copies shrinks before the shuffle.
+    Groups with several versions are found on narrow columns and stored; only their rows
+    are aggregated, all others pass by an anti-join on the narrow keys.
     """
     group = [names.key, names.checksum]
     rest = [c for c in versions.columns if c not in group]
+    several = stored(duplicate_versions(versions, names).select(*group), "duplicate-groups")
     still_open = F.col(names.valid_to).isNull()
     newest = F.struct(names.load, names.valid_from, still_open, names.valid_to)
-    return (
-        versions.groupBy(*group)
+    same = [F.col(f"v.{c}").eqNullSafe(F.col(f"g.{c}")) for c in group]
+    kept = (
+        versions.alias("v").join(several.alias("g"), same, "left_semi").groupBy(*group)
         .agg(F.max_by(F.struct(*rest), newest).alias("_kept"))
         .select(*group, *[F.col(f"_kept.{c}").alias(c) for c in rest])
         .select(*versions.columns)
     )
+    return versions.alias("v").join(several.alias("g"), same, "left_anti").unionByName(kept)
 
 
 def invariants(consolidated: DataFrame, names: VersionColumns = VERSION_COLUMNS) -> DataFrame:
@@ -63,7 +68,8 @@ def reconcile(consolidated: DataFrame, expected: int | Column,
     ).withColumn("agrees", F.abs(F.col("active") - F.col("expected")) <= tolerance)
 
 
-def dead_links(consolidated: DataFrame, url_status: DataFrame) -> DataFrame:
+def dead_links(consolidated: DataFrame, url_status: DataFrame,
+               names: VersionColumns = VERSION_COLUMNS) -> DataFrame:
     """Active rows whose URL is not known to be valid; a missing status is not valid.
 
     ``url_status`` has one row per URL. The check runs on one row per URL; dead URLs are
@@ -73,4 +79,4 @@ def dead_links(consolidated: DataFrame, url_status: DataFrame) -> DataFrame:
     alive = url_status.filter("is_valid").select("url")
     dead = active.groupBy("url").agg(F.count(F.lit(1)).alias("_rows")).join(
         alive, "url", "left_anti")
-    return attach_per_key(active, dead, ["url"], "_rows").drop("_rows")
+    return attach_per_key(active, dead, ["url"], "_rows", salt=names.key).drop("_rows")

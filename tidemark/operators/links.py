@@ -54,6 +54,26 @@ def resolved_links(found: DataFrame) -> DataFrame:
     return found.withColumn("url", canonical_url("page_url", "href")).filter("url IS NOT NULL")
 
 
+def unresolved_links(found: DataFrame) -> DataFrame:
+    """L2: the links that give no absolute URL, as a report."""
+    return found.withColumn("url", canonical_url("page_url", "href")).filter("url IS NULL").drop("url")
+
+
+def stored_pages(firsts: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
+    """The stored page of every discovered URL, with where it was first seen.
+
+    Both sides are in normal form; page text is joined by its URL and read once.
+    """
+    known = pages.withColumn("_url", canonical_url(url, url)).drop(url)
+    return firsts.join(known, F.col("url") == F.col("_url")).drop("_url")
+
+
+def links_without_page(firsts: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
+    """Discovered URLs that no stored page answers; reads the URLs of pages only."""
+    known = pages.select(canonical_url(url, url).alias("url"))
+    return firsts.join(known, "url", "left_anti")
+
+
 def first_seen(resolved: DataFrame) -> DataFrame:
     """L3: one row per URL, its first occurrence. An aggregate, so hot URLs combine early."""
     return (
@@ -71,7 +91,7 @@ def duplicate_links(resolved: DataFrame) -> DataFrame:
         "url", F.col("page_no").alias("original_page_no"), F.col("pos").alias("original_pos"),
         F.col("page_url").alias("original_page_url"), "occurrences",
     )
-    joined = attach_per_key(resolved, firsts, ["url"], "occurrences")
+    joined = attach_per_key(resolved, firsts, ["url"], "occurrences", salt="page_no")
     return joined.filter(
         (F.col("page_no") != F.col("original_page_no")) | (F.col("pos") != F.col("original_pos"))
     ).select("url", "page_no", "page_url", "pos", "original_page_no", "original_page_url")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.schema import VERSION_COLUMNS, VersionColumns
+from tidemark.session import stored
 
 
 def run_calendar(observations: DataFrame, run: str) -> DataFrame:
@@ -24,15 +25,16 @@ def replay(observations: DataFrame, run: str, calendar: DataFrame | None = None,
     """H3: the versions that repeated complete merges of these snapshots would leave.
 
     ``observations`` has one row per key and run, so a key never has more rows than there
-    are runs and the window per key stays small. A version starts where the run before
+    are runs and the window per key stays small. The calendar has one row per run and is
+    broadcast, so observations never meet on the few values of ``run``. A version starts where the run before
     does not show the same content, and ends at the run after its last sighting. One
     shuffle on the key; the calendar side is small and joins before it. Pass the
     ``calendar`` where the runs are known, for then empty snapshots count as well.
     """
-    calendar = run_calendar(observations, run) if calendar is None else calendar
+    calendar = stored(run_calendar(observations, run), "calendar") if calendar is None else calendar
     by_key = Window.partitionBy(names.key).orderBy(run)
     before, after = F.lag(F.struct(run, names.checksum)), F.lead(F.struct(run, names.checksum))
-    seen = observations.join(calendar, run).withColumns({
+    seen = observations.join(F.broadcast(calendar), run).withColumns({
         "_starts": ~F.equal_null(
             before.over(by_key), F.struct(F.col("_run_before"), F.col(names.checksum))),
         "_ends": ~F.equal_null(

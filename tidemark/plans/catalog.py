@@ -267,6 +267,16 @@ def checked(spark, folder):
     return run.read_records(details(spark, folder), SCRAPED)
 
 
+def pages_of_links(spark, folder):
+    firsts = links.first_seen(resolved(listing(spark, folder))).select("url", "page_no")
+    return links.stored_pages(firsts, inputs.part_pages(tables.table(spark, folder, "part")))
+
+
+def links_without_page(spark, folder):
+    firsts = links.first_seen(resolved(listing(spark, folder))).select("url", "page_no")
+    return links.links_without_page(firsts, inputs.part_pages(tables.table(spark, folder, "part")))
+
+
 # --- streaming --------------------------------------------------------------
 
 def streamed_pages(spark, folder):
@@ -396,6 +406,8 @@ QUERIES: dict[str, Query] = {
     "h12_changed_once": _over(versions, consolidate.changed_once),
     "h13_invariants": _over(current, audit.invariants),
     "h14_reconcile": reconciled,
+    "l9_pages_of_links": pages_of_links,
+    "l9_links_without_page": links_without_page,
     "h15_dead_links": dead_links,
     "p1_min_table": _over(current, publishing.min_table),
     "p2_markdown": _over(

@@ -193,3 +193,11 @@ def listing_pages(parts: DataFrame) -> DataFrame:
         F.concat(F.lit("https://www.example.org/Suche.html?page="), "page_id").alias("url"),
         F.concat(F.lit("<html><body>"), "body", F.lit(' <a class="forward button" href="'),
                  following, F.lit('">weiter</a></body></html>')).alias("html"))
+
+
+def part_pages(parts: DataFrame) -> DataFrame:
+    """The stored detail pages behind those cards: one per address, none for "Brand#3"."""
+    address = F.concat(F.lit("HTTPS://WWW.example.org/FDB/Content/DE/Foerderprogramm/"),
+                       F.replace("p_name", F.lit(" "), F.lit("-")), F.lit(".html#top"))
+    return parts.filter("p_brand <> 'Brand#3'").groupBy(address.alias("url")).agg(
+        F.min("p_partkey").alias("page_id"))

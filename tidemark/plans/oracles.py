@@ -288,6 +288,13 @@ ORACLES: dict[str, str] = {
     "l2_canonical_links": f"WITH {NAV} SELECT page_no, pos, url FROM r",
     "l3_first_seen": f"WITH {NAV} {FIRST}",
     "l3_first_seen_cards": f"WITH {CARDS} {FIRST}",
+    "l9_pages_of_links": f"""
+SELECT f.url, f.page_no, p.page_id FROM (WITH {CARDS} {FIRST}) f JOIN (
+  SELECT 'https://www.example.org/FDB/Content/DE/Foerderprogramm/' || replace(p_name, ' ', '-') || '.html' AS url, min(p_partkey) AS page_id
+  FROM part WHERE p_brand <> 'Brand#3' GROUP BY 1) p USING (url)""",
+    "l9_links_without_page": f"""
+SELECT f.url, f.page_no FROM (WITH {CARDS} {FIRST}) f WHERE f.url NOT IN (
+  SELECT 'https://www.example.org/FDB/Content/DE/Foerderprogramm/' || replace(p_name, ' ', '-') || '.html' FROM part WHERE p_brand <> 'Brand#3')""",
     "l4_duplicate_links": f"""
 WITH {CARDS} SELECT url, page_no, pos, original_page_no, original_page_url FROM (
   SELECT *, row_number() OVER w AS rn, first_value(page_no) OVER w AS original_page_no,
