@@ -13,6 +13,13 @@ from tidemark.sources.history_store import HistoryStore
 
 
 @pytest.mark.parametrize("html, markdown", [
+    ("<table><tr><th>A</th><th>B</th></tr><tr><td>1</td><td>2</td></tr></table>",
+     "| A | B |\n| --- | --- |\n| 1 | 2 |"),
+    ("<table><tbody><tr><td>A<td>B<tr><td>1<td>2</table>",
+     "|  |  |\n| --- | --- |\n| A | B |\n| 1 | 2 |"),
+    ("<p>x</p><pre>a\n  b <b>c</b></pre>y", "x\n\n```\na\n  b **c**\n```\n\ny"),
+    ("<pre><code>a_b\n</code></pre>", "```\na_b\n```"),
+    ("<del>old</del> and <s>older</s>", "~~old~~ and ~~older~~"),
     ("<p>a</p><p>b</p>", "a\n\nb"),
     ("<p>a<p>b", "a\n\nb"),
     ("<h1>T</h1>x", "T\n=\n\nx"),

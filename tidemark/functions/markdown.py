@@ -1,4 +1,4 @@
-"""HTML fragments to Markdown: headings, paragraphs, lists, links, emphasis, breaks."""
+"""HTML fragments to Markdown: headings, paragraphs, lists, tables, links, emphasis, code, breaks."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_WRAP = {"b": "**", "strong": "**", "em": "*", "i": "*", "code": "`"}
+_WRAP = {"b": "**", "strong": "**", "em": "*", "i": "*", "code": "`", "del": "~~", "s": "~~"}
 _BLANK = re.compile(r"\n{3,}")
 _SPACE = re.compile(r"[\t \r\n]+")
 
@@ -29,6 +29,24 @@ class _Writer(HTMLParser):
     def _lists(self):
         return [tag for tag, _, _ in self.open if tag in ("ul", "ol")]
 
+    def _around(self, tag):
+        """Attributes and counts of the nearest open element of this tag."""
+        return next((given for t, given, _ in reversed(self.open) if t == tag), None)
+
+    def _row(self, given, cells):
+        """A table row; the first one brings the rule below the head, or an empty head."""
+        if not given["#"]:
+            return ""
+        table = self._around("table") or {"#": 0}
+        table["#"] += 1
+        rule = "| " + " | ".join(["---"] * given["#"]) + " |\n"
+        line = f"|{cells}\n"
+        if table["#"] > 1:
+            return line
+        if given.get("heads") == given["#"] or self._around("thead") is not None:
+            return line + rule
+        return "| " + " | ".join([""] * given["#"]) + " |\n" + rule + line
+
     def handle_starttag(self, tag, attrs):
         if tag == "br":
             self.open[-1][2].append("  \n")
@@ -39,9 +57,11 @@ class _Writer(HTMLParser):
             self.open[-1][2].append(f"![{given.get('alt') or ''}]({given.get('src') or ''})")
         else:
             opened = [t for t, _, _ in self.open]
-            if tag in ("p", "li") and tag in opened:
-                # An unclosed paragraph or item ends where the next one starts.
-                at = len(opened) - 1 - opened[::-1].index(tag)
+            ending = {"th": ("td", "th"), "td": ("td", "th")}.get(tag, (tag,))
+            last = max((i for i, t in enumerate(opened) if t in ending), default=None)
+            if tag in ("p", "li", "td", "th", "tr") and last is not None:
+                # An unclosed paragraph, item, cell or row ends where the next one starts.
+                at = last
                 if not {"ul", "ol", "table"} & set(opened[at:]):
                     while len(self.open) > at:
                         self._end()
@@ -77,6 +97,23 @@ class _Writer(HTMLParser):
             body = f"\n\n{'#' * int(tag[1])} {_SPACE.sub(' ', text)}\n\n" if text else ""
         elif tag == "p":
             body = f"\n\n{text}\n\n" if text else ""
+        elif tag == "pre":
+            body = "\n\n```\n" + body.strip("\n") + "\n```\n\n" if body.strip() else ""
+        elif tag == "code" and self._around("pre"):
+            pass  # the fence around it is enough
+        elif tag in ("td", "th"):
+            row = self._around("tr")
+            if row:
+                row["#"] += 1
+                row["heads"] = row.get("heads", 0) + (tag == "th")
+            body = f" {_SPACE.sub(' ', text)} |"
+        elif tag == "tr":
+            body = self._row(given, "".join(p for p in parts if p.strip()))
+        elif tag in ("thead", "tbody", "tfoot"):
+            body = "".join(p for p in parts if p.strip())
+        elif tag == "table":
+            rows = "".join(p for p in parts if p.strip()).strip("\n")
+            body = f"\n\n{rows}\n\n" if rows else ""
         elif tag in _WRAP:
             body = f"{lead}{_WRAP[tag]}{text}{_WRAP[tag]}{trail}" if text else body[:1]
         elif tag == "a":
