@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.html import ANYWHERE, Rule, step
 from tidemark.functions.markdown import html_to_markdown
 from tidemark.functions.text import content_checksum, license_line, record_key, url_slug
 from tidemark.operators import (
@@ -313,6 +314,8 @@ def _recent(deleted: bool) -> Callable[[DataFrame], DataFrame]:
         df, "funding_area", F.lit(AS_OF).cast("timestamp_ntz"), deleted=deleted)
 
 
+# Another layout is another rule list; here the advertisement takes the title's place.
+AD_RULES = (Rule("title", "div", ANYWHERE + step("div", cls="ad"), "all_text"),)
 CONTACT_ADDRESS = ("page_id", "contact_info_street", "contact_info_city")
 
 QUERIES: dict[str, Query] = {
@@ -454,9 +457,8 @@ QUERIES: dict[str, Query] = {
     "s4_compacted_store": compacted_store,
     "x15_issues_of_a_run": rejected_records,
     "u1_markdown_of_articles": _over(
-        lambda s, d: extraction.extract(pages(s, d), extraction.ARTICLE_RULES),
-        lambda df: df.select("page_id", html_to_markdown("description").alias("markdown"))),
-    "u2_rules_for_articles": _over(
-        lambda s, d: extraction.extract(pages(s, d), extraction.ARTICLE_RULES),
-        extraction.page_issues, "page_id", "reason"),
+        lambda s, d: inputs.shaped_articles(tables.table(s, d, "documents")),
+        lambda df: df.select("page_id", html_to_markdown("html").alias("markdown"))),
+    "u2_rules_for_ads": _over(
+        lambda s, d: extraction.extract(pages(s, d), AD_RULES), lambda df: df, "page_id", "title"),
 }

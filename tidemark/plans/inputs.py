@@ -201,3 +201,19 @@ def part_pages(parts: DataFrame) -> DataFrame:
                        F.replace("p_name", F.lit(" "), F.lit("-")), F.lit(".html#top"))
     return parts.filter("p_brand <> 'Brand#3'").groupBy(address.alias("url")).agg(
         F.min("p_partkey").alias("page_id"))
+
+
+def shaped_articles(docs: DataFrame) -> DataFrame:
+    """One article of known markup per document, in eight shapes, from its narrow columns."""
+    shapes = [
+        "concat('<h1>', lang, ' ', source, '</h1><p>', n_chars, '</p>')",
+        "concat('<h3>', lang, '</h3>\n<p>', source, '<br>', n_chars, '</p>')",
+        "concat('<ul><li>', lang, '</li><li>', source, '</li></ul>')",
+        "concat('<ol start=\"3\"><li>', lang, '<li>', source, '</ol>')",
+        "concat('<table><tr><th>', lang, '</th><th>', source, '</th></tr><tr><td>', n_chars, '</td><td>x</td></tr></table>')",
+        "concat('<p>', lang, '</p><pre>', source, '\n  ', n_chars, '</pre>')",
+        "concat('<p><a href=\"https://x.example/', n_chars, '\">', source, '</a> <b>', lang, '</b> <del>old</del></p>')",
+        "concat('<blockquote>', lang, '<br>', source, '</blockquote>')",
+    ]
+    cases = " ".join(f"WHEN {i} THEN {shape}" for i, shape in enumerate(shapes))
+    return docs.select(F.col("doc_id").alias("page_id"), F.expr(f"CASE doc_id % 8 {cases} END").alias("html"))

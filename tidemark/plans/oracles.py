@@ -505,6 +505,17 @@ FROM cur WHERE deleted AND last_updated <> (SELECT min(last_updated) FROM cur) G
     "t1_streamed_pages": f"""
 SELECT DISTINCT md5({_PAGE_SLUG}) AS id_hash, {_PAGE_SLUG} AS id_url FROM pages
 WHERE {_TITLE} <> ''""",
-    "u2_rules_for_articles": "SELECT page_id, 'no title' AS reason FROM pages WHERE "
-                             f"{_TITLE} = ''",
+    "u1_markdown_of_articles": """
+SELECT doc_id AS page_id, CASE doc_id % 8
+  WHEN 0 THEN lang || ' ' || source || chr(10) || repeat('=', length(lang || ' ' || source)) || chr(10) || chr(10) || n_chars
+  WHEN 1 THEN '### ' || lang || chr(10) || chr(10) || source || '  ' || chr(10) || n_chars
+  WHEN 2 THEN '* ' || lang || chr(10) || '* ' || source
+  WHEN 3 THEN '3. ' || lang || chr(10) || '4. ' || source
+  WHEN 4 THEN '| ' || lang || ' | ' || source || ' |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || n_chars || ' | x |'
+  WHEN 5 THEN lang || chr(10) || chr(10) || '```' || chr(10) || source || chr(10) || '  ' || n_chars || chr(10) || '```'
+  WHEN 6 THEN '[' || source || '](https://x.example/' || n_chars || ') **' || lang || '** ~~old~~'
+  ELSE '> ' || lang || '  ' || chr(10) || '> ' || source END AS markdown
+FROM documents""",
+    "u2_rules_for_ads": r"""
+SELECT page_id, nullif(regexp_extract(html, '<div class="ad">([^<]*)</div>', 1), '') AS title FROM pages""",
 }
