@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schema import VERSION_COLUMNS, VersionColumns
+from tidemark.session import stored
 
 COMPLETE, PARTIAL = "complete", "partial"
 
@@ -31,7 +32,9 @@ def plan_changes(active: DataFrame, snapshot: DataFrame, *, mode: str,
     how = "full_outer" if mode == COMPLETE or scope else "right_outer"
     both = old.join(new, names.key, how)
     if mode == PARTIAL and scope:
-        touched = snapshot.select(*scope).distinct().withColumn("_touched", F.lit(True))
+        # Stored, so that the join has one row per scope value on its right and the rows of a
+        # hot value can be split; few values are broadcast.
+        touched = stored(snapshot.select(*scope).distinct(), "touched").withColumn("_touched", F.lit(True))
         both = both.join(touched, scope, "left").filter(
             F.col("_new").isNotNull() | F.col("_touched"))
     return both.filter(~F.equal_null("_old", "_new")).select(
