@@ -182,37 +182,29 @@ def history_by_sql(spark, folder):
 
 # --- history ----------------------------------------------------------------
 
-def _last_two(spark, folder):
-    """State after the last run but one, as active versions, and the last snapshot."""
+def _last_day(spark, folder):
+    """The versions active after all days but the last, the last snapshot, its date and number."""
     daily = stored(states(spark, folder), "states")
-    runs = replay.run_calendar(daily, "run_at")
-    last = runs.filter("_run_after IS NULL").select("run_at")
-    before = runs.filter("_run_after IS NULL").select(F.col("_run_before").alias("run_at"))
-    active = daily.join(F.broadcast(before), "run_at").select(
-        "id_hash", "title", "checksum", F.col("run_at").alias("on_website_from"),
-        F.lit(None).cast("timestamp_ntz").alias("on_website_to"), F.lit(1).cast("long")
-        .alias("load_id"))
-    snapshot = daily.join(F.broadcast(last), "run_at").select("id_hash", "title", "checksum")
-    run_at = daily.select(F.max("run_at")).scalar()
-    return active, snapshot, run_at
+    last = daily.select(F.max("run_at")).scalar()
+    history = replay.replay(daily.filter(F.col("run_at") < last), "run_at")
+    active = history.filter("on_website_to IS NULL").select(
+        "id_hash", "title", "checksum", "on_website_from", "on_website_to", "load_id")
+    snapshot = daily.filter(F.col("run_at") == last).select("id_hash", "title", "checksum")
+    number = daily.select(F.count_distinct("run_at")).scalar()
+    return stored(active, "active"), snapshot, last, number
 
 
 def merged_complete(spark, folder):
-    active, snapshot, run_at = _last_two(spark, folder)
-    return merge.scd2_merge(active, snapshot, run_at, F.lit(2).cast("long"), mode=merge.COMPLETE)
+    return merge.scd2_merge(*_last_day(spark, folder), mode=merge.COMPLETE)
 
 
 def merged_partial(spark, folder):
-    active, snapshot, run_at = _last_two(spark, folder)
-    return merge.scd2_merge(active, snapshot, run_at, F.lit(2).cast("long"), mode=merge.PARTIAL,
-                            merge_key=["id_hash"])
+    return merge.scd2_merge(*_last_day(spark, folder), mode=merge.PARTIAL, merge_key=["id_hash"])
 
 
 def merged_scope(spark, folder):
     """Partial merge whose absent rows are retired within the states the batch shows."""
-    active, snapshot, run_at = _last_two(spark, folder)
-    return merge.scd2_merge(active, snapshot, run_at, F.lit(2).cast("long"), mode=merge.PARTIAL,
-                            merge_key=["title"])
+    return merge.scd2_merge(*_last_day(spark, folder), mode=merge.PARTIAL, merge_key=["title"])
 
 
 def replayed(spark, folder):

@@ -112,17 +112,16 @@ s AS (
 """
 
 
-def _replay(every: str) -> str:
+def _versions_of(states: str) -> str:
     return f"""
-WITH {_states(every)},
 runs AS (
   SELECT run_at, row_number() OVER (ORDER BY run_at) AS i,
     lead(run_at) OVER (ORDER BY run_at) AS next_run
-  FROM (SELECT DISTINCT run_at FROM s)),
+  FROM (SELECT DISTINCT run_at FROM {states})),
 numbered AS (
-  SELECT s.*, runs.i, runs.i - row_number() OVER (
+  SELECT t.*, runs.i, runs.i - row_number() OVER (
     PARTITION BY id_hash, checksum ORDER BY runs.i) AS island
-  FROM s JOIN runs USING (run_at)),
+  FROM {states} t JOIN runs USING (run_at)),
 spans AS (
   SELECT id_hash, title, checksum, island, min(run_at) AS on_website_from, max(run_at) AS last_run,
     min(i) AS load_id
@@ -132,19 +131,27 @@ FROM spans JOIN runs ON runs.run_at = spans.last_run
 """
 
 
+def _replay(every: str) -> str:
+    return f"WITH {_states(every)}, {_versions_of('s')}"
+
+
 def _merge(absent: str) -> str:
-    """Three kinds of row: kept, retired, opened. ``absent`` says which absent rows end."""
+    """The last day into the history of all days before: kept, retired and opened rows.
+
+    ``absent`` says which absent rows end.
+    """
     return f"""
 WITH {_states('day')},
-d AS (SELECT DISTINCT run_at FROM s ORDER BY run_at DESC LIMIT 2),
-b AS (SELECT s.* FROM s WHERE run_at = (SELECT max(run_at) FROM d)),
-a AS (SELECT s.* FROM s WHERE run_at = (SELECT min(run_at) FROM d))
-SELECT a.id_hash, a.title, a.checksum, a.run_at AS on_website_from,
+d AS (SELECT max(run_at) AS last, count(DISTINCT run_at) AS days FROM s),
+b AS (SELECT s.* FROM s, d WHERE run_at = last),
+e AS (SELECT s.* FROM s, d WHERE run_at < last),
+a AS (SELECT * FROM (WITH {_versions_of('e')}) WHERE on_website_to IS NULL)
+SELECT a.id_hash, a.title, a.checksum, a.on_website_from,
   CASE WHEN b.id_hash IS NULL AND {absent} OR b.checksum <> a.checksum
-       THEN (SELECT max(run_at) FROM d) END AS on_website_to, CAST(1 AS BIGINT) AS load_id
+       THEN (SELECT last FROM d) END AS on_website_to, a.load_id
 FROM a LEFT JOIN b ON a.id_hash = b.id_hash
 UNION ALL
-SELECT b.id_hash, b.title, b.checksum, b.run_at, NULL, CAST(2 AS BIGINT)
+SELECT b.id_hash, b.title, b.checksum, b.run_at, NULL, (SELECT days FROM d)
 FROM b LEFT JOIN a ON a.id_hash = b.id_hash AND a.checksum = b.checksum
 WHERE a.id_hash IS NULL
 """
