@@ -353,8 +353,9 @@ QUERIES: dict[str, Query] = {
         lambda s, d: extraction.extract(pages(s, d), extraction.ARTICLE_RULES),
         lambda df: df, "page_id", "description"),
     "x5_labels": _over(lambda s, d: extraction.label_structure(
-        extraction.detail_pieces(details(s, d))), lambda df: df,
-        "page_id", "tab_fields", "entry_fields"),
+        extraction.detail_pieces(details(s, d))), lambda df: df.select("page_id", *[
+            F.transform(c, lambda name: F.coalesce(name, F.lit("?"))).alias(c)
+            for c in ("tab_fields", "entry_fields")])),
     "x6_repeated_labels": _over(detail_records, lambda df: df, "page_id", "funding_type"),
     "x7_list_fields": _over(detail_records, lambda df: df, "page_id", "funding_type",
                             "funding_area", "funding_location", "eligible_applicants"),
@@ -429,7 +430,7 @@ QUERIES: dict[str, Query] = {
     "a4_freshness": _over(current, analytics.freshness),
     "a5_active_programs": _over(current, analytics.active_programs, "id_hash", "title"),
     "a5_active_count": _over(current, analytics.active_count),
-    "a6_profile": _over(current, analytics.profile, "column_name", "row_count", "null_count"),
+    "a6_profile": _over(current, analytics.profile),
     "a7_weeks": _over(current, analytics.with_week, "id_hash", "week_start_date"),
     "a8_without_first_load": _over(dates, analytics.without_first_load,
                                    "id_hash", "on_website_from"),

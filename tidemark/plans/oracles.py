@@ -332,10 +332,10 @@ WITH {CARDS} SELECT page_no, CASE WHEN page_no < (SELECT max(page_no) FROM card)
     "x5_labels": _on_x("""
 SELECT page_id,
   CASE WHEN bare OR NOT tabbed THEN '' WHEN lang = 'en' THEN 'description, more_info, legal_basis'
-       ELSE 'description, more_info' END AS tab_fields,
+       ELSE 'description, more_info, ?' END AS tab_fields,
   CASE WHEN bare THEN '' ELSE 'funding_type, funding_area'
     || CASE WHEN lang <> 'fr' THEN ', funding_location' ELSE '' END
-    || ', eligible_applicants, funding_type'
+    || ', eligible_applicants, ?, funding_type'
     || CASE WHEN lang = 'de' THEN ', legal_basis' ELSE '' END
     || ', funding_body, contact_info, further_links' END AS entry_fields
 FROM x"""),
@@ -483,7 +483,10 @@ FROM cur"""),
     "a5_active_programs": _on_cur("SELECT id_hash, title FROM cur WHERE NOT deleted"),
     "a5_active_count": _on_cur("SELECT count(*) AS active FROM cur WHERE NOT deleted"),
     "a6_profile": _on_cur(" UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count(*) AS row_count, "
+        f"SELECT '{c}' AS column_name, CASE max(typeof({c})) WHEN 'VARCHAR' THEN 'string' "
+        "WHEN 'VARCHAR[]' THEN 'array<string>' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
+        "WHEN 'TIMESTAMP[]' THEN 'array<timestamp_ntz>' WHEN 'BOOLEAN' THEN 'boolean' END AS type, "
+        "count(*) AS row_count, "
         f"count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM cur" for c in _PROFILED)),
     "a7_weeks": _on_cur(
         "SELECT id_hash, date_trunc('week', on_website_from)::TIMESTAMP AS week_start_date "
