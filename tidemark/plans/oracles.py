@@ -331,7 +331,7 @@ WITH {CARDS} SELECT page_no, CASE WHEN page_no < (SELECT max(page_no) FROM card)
     "x4_content_block": f"SELECT page_id, {_ARTICLE} AS description FROM pages",
     "x5_labels": _on_x("""
 SELECT page_id,
-  CASE WHEN bare OR NOT tabbed THEN '' WHEN lang = 'en' THEN 'description, more_info, legal_basis'
+  CASE WHEN bare OR NOT tabbed THEN '' WHEN lang = 'en' THEN 'description, more_info, ?, legal_basis'
        ELSE 'description, more_info, ?' END AS tab_fields,
   CASE WHEN bare THEN '' ELSE 'funding_type, funding_area'
     || CASE WHEN lang <> 'fr' THEN ', funding_location' ELSE '' END
