@@ -158,6 +158,35 @@ def test_compact_windows_are_the_runs_of_window_minima():
     assert low.tolist() == [s + int(np.argmin(values[s:s + 46])) for s in range(300 - 45)]
 
 
+def test_passages_with_an_inserted_or_deleted_word_are_found(spark):
+    texts, rng = {}, random.Random(5)
+    for n in (55, 60, 70, 80, 90, 100):
+        for what in range(10):
+            passage = [f"p{rng.getrandbits(40)}" for _ in range(n)]
+            other, at = list(passage), rng.randrange(n // 3, n - n // 3)
+            other[at:at + what % 2] = [] if what % 2 else ["new"]
+            for p in (passage, other):
+                sides = [" ".join(f"f{rng.getrandbits(40)}" for _ in range(k)) for k in (80, 60)]
+                texts[len(texts)] = f"{sides[0]} {' '.join(p)} {sides[1]}"
+    found = {r.doc_id: r for r in substring_dedup.repeated_passages(frame(spark, texts)).collect()}
+    pairs = [i for i in range(0, len(texts), 2) if i + 1 in found and found[i + 1].class_id == i]
+    # Two bands do not make every pair a candidate.
+    assert len(pairs) >= 0.85 * len(texts) / 2
+    assert {p.start for i in pairs for p in found[i + 1].passages} == {80}
+
+
+def test_similar_parts_of_moved_and_foreign_words():
+    rng = random.Random(6)
+    some = lambda n: [b"%d" % rng.getrandbits(40) for _ in range(n)]
+    for n in (50, 75, 100, 400):
+        for at in (5, n // 2, n - 5):
+            p = some(n)
+            left, right = some(40) + p + some(33), some(20) + p[:at] + [b"new"] + p[at:] + some(60)
+            assert [r[:4] for r in substring_dedup.similar_parts(left, right, 46, 0.8)] == [(40, 40 + n, 20, 21 + n)]
+    p = some(40)
+    assert substring_dedup.similar_parts(some(40) + p + some(33), some(20) + p + some(60), 46, 0.8) == []
+
+
 # --- op6 ---------------------------------------------------------------------------------
 
 def test_short_items_and_span_removal(spark):
