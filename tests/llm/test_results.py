@@ -175,6 +175,18 @@ def test_passages_with_an_inserted_or_deleted_word_are_found(spark):
     assert {p.start for i in pairs for p in found[i + 1].passages} == {80}
 
 
+def test_nearly_every_similar_stretch_shares_a_signature():
+    rng, met = random.Random(8), 0
+    for _ in range(400):
+        x = [rng.getrandbits(64) for _ in range(50)]
+        y = list(x)
+        y[25] = 0
+        keys = [set(substring_dedup.compact_windows(substring_dedup.shingle_hashes(np.array(t, dtype=np.uint64)),
+                                                    np.array([True]))[0].tolist()) for t in (x, y)]
+        met += bool(keys[0] & keys[1])
+    assert met >= 0.98 * 400
+
+
 def test_similar_parts_of_moved_and_foreign_words():
     rng = random.Random(6)
     some = lambda n: [b"%d" % rng.getrandbits(40) for _ in range(n)]
