@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from conftest import SMALL
 from helpers import frame, words
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     catalog, common, decontamination, length_histogram, maxent_lm, neighbours, quality_knn, sentence_pieces, simhash_dedup,
@@ -187,6 +188,20 @@ def test_nearly_every_similar_stretch_shares_a_signature():
     assert met >= 0.98 * 400
 
 
+def test_exact_repeats_meet_in_groups_of_foreign_windows(spark, monkeypatch):
+    """One key for every window and equal words beside each minimum: only whole windows tell them apart."""
+    monkeypatch.setattr(substring_dedup, "window_rows", lambda docs, width: docs.select(
+        F.lit(1).cast("long").alias("key"), "doc", F.explode(F.sequence(F.lit(0), F.size(F.split("text", " ")) - 50))
+        .alias("pos"), F.lit(1 << 32 | 1).alias("sides")).withColumn("pos", F.shiftleft(F.col("pos").cast("long"), 16)))
+    shared, other = words(1, 60), words(2, 55)
+    docs = frame(spark, {1: f"{words(10, 70)} {other} {words(18, 9)}", 2: f"{words(11, 70)} {shared} {words(12, 50)}",
+                         3: f"{words(13, 90)} {shared} {words(14, 20)}", 4: f"{words(15, 30)} {other} {words(16, 40)}"})
+    found = {r.doc_id: r for r in substring_dedup.repeated_passages(docs).collect()}
+    assert {i: r.class_id for i, r in found.items()} == {1: 1, 2: 2, 3: 2, 4: 1}
+    assert [tuple(p) for p in found[3].passages] == [(90, 150, 2, 70)]
+    assert [tuple(p) for p in found[4].passages] == [(30, 85, 1, 70)]
+
+
 def test_similar_parts_of_moved_and_foreign_words():
     rng = random.Random(6)
     some = lambda n: [b"%d" % rng.getrandbits(40) for _ in range(n)]
