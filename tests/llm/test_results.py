@@ -52,6 +52,21 @@ def test_untrained_model_is_a_distribution():
     assert p.sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_every_step_trains_every_feature():
+    """Also a share of a single slice; the last token with the third last is one of the features."""
+    rng = random.Random(4)
+    vocab = {"words": [f"w{i}".encode() for i in range(100)], "counts": np.full(100, 50.0),
+             "mass": np.full(maxent_lm.RARE, 1.0), "tokens": 5000, "kinds": 100}
+    weights = maxent_lm.new_weights(vocab)
+    ids = np.array([rng.randrange(100) for _ in range(500)])
+    place = np.arange(500)
+    met = {(t, row) for t, row, *_ in maxent_lm.train_share(weights, iter([(ids, place)]), 0.5)}
+    features = maxent_lm.context_features(ids, place)
+    assert features.shape[1] == 4 and len(set(features[3:, 3].tolist())) > 400
+    for k in range(4):
+        assert {(0, row) for row in maxent_lm._mix(features[:, k], 17 * k).tolist()} <= met
+
+
 # --- op2 ---------------------------------------------------------------------------------
 
 def test_pieces_decode_to_the_text(spark, texts):

@@ -1,8 +1,8 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
 A token is predicted as its class, then as a word of that class, from hashed features of the
-two tokens before it (the last, the one before it skipping the last, both). Frequent words
-have classes of ``WORDS_PER_CLASS``; the rest share classes by their last two bytes and
+three tokens before it (the last, the one before it skipping the last, both, and the last with
+the third). Frequent words have classes of ``WORDS_PER_CLASS``; the rest share classes by their last two bytes and
 are told apart by smoothed counts, so every token has a probability. Training runs in rounds over
 disjoint shares of all training documents: each task makes gradient updates to its copy of
 the weights, and Spark averages the changes per weight row. Counts cover all training tokens;
@@ -33,7 +33,7 @@ VOCABULARY = CLASSES * WORDS_PER_CLASS
 OUT = CLASSES + RARE
 START = VOCABULARY + RARE
 ROWS = 1 << 14
-FEATURES = 3
+FEATURES = 4
 STEP_TOKENS = 8192
 ROUNDS = 3
 RATE = 0.5
@@ -145,14 +145,14 @@ def _mix(a: np.ndarray, salt: int) -> np.ndarray:
 
 
 def context_features(ids: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """(tokens, FEATURES) feature values: last token, skipping it the one before, both."""
+    """(tokens, FEATURES) feature values: last token, skipping it the one before, both, last and third last."""
     before = []
-    for k in (1, 2):
+    for k in (1, 2, 3):
         shifted = np.concatenate((np.full(k, START), ids))[:len(ids)]
         before.append(np.where(place >= k, shifted, START))
-    one, two = before
+    one, two, three = before
     size = START + 1
-    return np.stack([one, size + two, 2 * size + one * size + two], axis=1)
+    return np.stack([one, size + two, 2 * size + one * size + two, (2 + size) * size + one * size + three], axis=1)
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -197,21 +197,19 @@ def log_probabilities(weights: dict, ids: np.ndarray, place: np.ndarray) -> np.n
 
 
 def _update(table: np.ndarray, speed: np.ndarray, touched: np.ndarray, bias, rows: np.ndarray,
-            target: np.ndarray, rate: float, block: int) -> None:
-    """One gradient step on one block of features; a row's step shrinks with the gradients it has seen.
-
-    Steps go round the blocks: the sums per row are the costly part of a step.
-    """
+            target: np.ndarray, rate: float) -> None:
+    """One gradient step on all features; a row's step shrinks with the gradients it has seen."""
     error = _softmax(_sum_rows(table, bias, rows))
     error[np.arange(len(target)), target] -= 1
-    order = np.argsort(rows[:, block], kind="stable")
-    sorted_rows = rows[order, block]
-    first = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
-    at = sorted_rows[first]
-    slope = np.add.reduceat(error[order], first, axis=0)
-    speed[at] += (slope * slope).sum(axis=1)
-    table[at] -= (rate / np.sqrt(speed[at] + 1))[:, None] * slope
-    touched[at] += np.diff(first, append=len(order))
+    for k in range(rows.shape[1]):
+        order = np.argsort(rows[:, k].astype(np.int16), kind="stable")  # ROWS fit; a radix sort
+        sorted_rows = rows[order, k]
+        first = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
+        at = sorted_rows[first]
+        slope = np.add.reduceat(error[order], first, axis=0)
+        speed[at] += (slope * slope).sum(axis=1)
+        table[at] -= (rate / np.sqrt(speed[at] + 1))[:, None] * slope
+        touched[at] += np.diff(first, append=len(order))
 
 
 def train_share(weights: dict, shares: Iterator[tuple[np.ndarray, np.ndarray]], rate: float):
@@ -220,13 +218,11 @@ def train_share(weights: dict, shares: Iterator[tuple[np.ndarray, np.ndarray]],
     own = {k: v.copy() for k, v in start.items()}
     speed = {k: np.zeros(len(v), dtype=np.float32) for k, v in own.items()}
     touched = {k: np.zeros(len(v), dtype=np.int64) for k, v in own.items()}
-    block = 0
     for ids, place in shares:
         for _, classes, rows, inside, word, bias, word_rows in _steps(ids, place):
-            _update(own["classes"], speed["classes"], touched["classes"], ROWS, rows, classes, rate, block)
+            _update(own["classes"], speed["classes"], touched["classes"], ROWS, rows, classes, rate)
             if len(inside):
-                _update(own["words"], speed["words"], touched["words"], bias, word_rows, word, rate, block)
-            block = (block + 1) % FEATURES
+                _update(own["words"], speed["words"], touched["words"], bias, word_rows, word, rate)
     for number, name in enumerate(("classes", "words")):
         for row in np.flatnonzero(touched[name]).tolist():
             yield number, row, float(touched[name][row]), (own[name][row] - start[name][row])
