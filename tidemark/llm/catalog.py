@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontamination, language_id, length_histogram, maxent_lm, neighbours, quality_knn, sentence_pieces, simhash_dedup,
-    substring_dedup, toxicity,
+    substring_dedup, toxicity, vector_codes,
 )
 from tidemark.sources.tables import table
 
@@ -57,6 +57,10 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+def vector_code_table(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.encode(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_model_scores": model_scores,
     "op2_best_segmentations": best_segmentations,
@@ -68,8 +72,10 @@ QUERIES = {
     "op8_page_languages": page_languages,
     "op9_nearest_vectors": nearest_vectors,
     "op10_quality_votes": quality_votes,
+    "op11_vector_codes": vector_code_table,
 }
 ORACLES = {
     "op6_benchmark_hits": decontamination.ORACLE,
     "op9_nearest_vectors": neighbours.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
 }
