@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontamination, language_id, length_histogram, maxent_lm, neighbours, quality_knn, sentence_pieces, simhash_dedup,
-    substring_dedup, toxicity, vector_codes,
+    decontamination, language_id, length_histogram, maxent_lm, neighbours, quality_knn, ranked_search, sentence_pieces,
+    simhash_dedup, substring_dedup, toxicity, vector_codes, web_archive,
 )
 from tidemark.sources.tables import table
 
@@ -61,6 +61,14 @@ def vector_code_table(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.encode(table(spark, folder, "embeddings"))
 
 
+def ranked_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def archived_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return web_archive.round_trip(table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_model_scores": model_scores,
     "op2_best_segmentations": best_segmentations,
@@ -73,9 +81,13 @@ QUERIES = {
     "op9_nearest_vectors": nearest_vectors,
     "op10_quality_votes": quality_votes,
     "op11_vector_codes": vector_code_table,
+    "op12_ranked_documents": ranked_documents,
+    "op13_archived_pages": archived_pages,
 }
 ORACLES = {
     "op6_benchmark_hits": decontamination.ORACLE,
     "op9_nearest_vectors": neighbours.ORACLE,
     "op11_vector_codes": vector_codes.ORACLE,
+    "op12_ranked_documents": ranked_search.ORACLE,
+    "op13_archived_pages": web_archive.ORACLE,
 }
