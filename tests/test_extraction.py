@@ -1,11 +1,13 @@
 """Golden rows of hand-written pages in the layouts the rules describe."""
 
+import time
 from datetime import datetime
 
 import pages as P
 import pytest
 from conftest import rows
 
+from tidemark.functions import html
 from tidemark.functions.text import split_list, url_slug
 from tidemark.functions.urls import canonical
 from tidemark.operators import extraction, identity, links
@@ -187,3 +189,29 @@ def test_no_break_space_after_phone_label(spark):
             '<dd><p class="tel">Tel:&nbsp;030 1</p></dd></dl></main></body></html>')
     got = extraction.extract(spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string"))
     assert got.first().contact_info_phone == "030 1"
+
+
+# Signs and tags that nothing closes, and elements nested as deep as the page is long.
+SHAPES = ("<a ", "</a", "<!x", "<!--", '<a b="', "<a b='>' ", "<a href=x", "<a<a ", '<a "x', "<", "<?", "<script>", "<p>",
+          "<p><td><div>", '<h1 class="title">x', "<dd>x<b>", "<dl><dt>a", '<div class="content"><article>', "<ul><li>")
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_a_megabyte_of_any_shape_is_one_row_in_linear_time(shape):
+    def seconds(n, end):
+        page, reader = shape * (n // len(shape)) + end, html._Reader(extraction.DETAIL_RULES)
+        started = time.process_time()
+        assert all(len(column) == 1 for column in reader.read_batch([page]))
+        return time.process_time() - started
+
+    for end in ("", ">", "-->"):
+        # Sixteen times the page may take some more than sixteen times as long, never 256 times.
+        assert seconds(1 << 20, end) < 60 * max(seconds(1 << 16, end), 0.01)
+
+
+def test_unclosed_tags_are_text(spark):
+    page = ('<main><h1 class="title">A <b <i>B</i> &lt; <a href="x</h1>" <p>C</h1>'
+            '<h1 class="title">D<!-- never closed <h1 class="title">E</h1></main>')
+    frame = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert [p.value for p in html.read_pieces(frame, extraction.DETAIL_RULES, ["page_id"]).first().title] == [
+        "A <b ", "B", ' < <a href="x', "D"]

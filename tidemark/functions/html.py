@@ -48,7 +48,8 @@ class Rule:
     """Where to look (``path``, tag last) and what to take.
 
     take: "text" own text nodes, "all_text" also those of descendants, "html" the
-    element as written in the page, "mark" just its place, "@name" an attribute.
+    element as written in the page (null inside another one of the rule), "mark" just its
+    place, "@name" an attribute.
     scope: rule whose innermost open element's number is noted with each value.
     """
 
@@ -78,14 +79,17 @@ _ENDS = {tag: (("p",), frozenset({"td", "th", "button"})) for tag in _BLOCK}
 _ENDS["li"] = (("li", "p"), frozenset({"ul", "ol"}))
 _ENDS["dt"] = _ENDS["dd"] = (("dt", "dd"), frozenset({"dl"}))
 
-_ATTRIBUTE = r"""([^\s/>=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++)?)?"""
+# A tag ends at ">" or, unclosed, before the next "<" outside quotes, so that no two tokens
+# look through the same text and the time for a page follows its length.
+_ATTRIBUTE = r"""([^\s/>=<]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s><]++)?)?"""
 _ATTRIBUTES = re.compile(_ATTRIBUTE)
 _INSIDE = _ATTRIBUTE.replace("([^", "(?:[^").replace('("[', '(?:"[')
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
-    rf"|<([a-zA-Z][^\s/>]*)((?:[\s/]++|{_INSIDE}|=)*+)>", re.S)
+    rf"(<!--.*?(?:-->|\Z))|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>"
+    rf"|<([a-zA-Z][^\s/><]*+)((?:[\s/]++|{_INSIDE}|=)*+)>", re.S)
 _NONE: dict[str, str] = {}
 _UNASKED: tuple[set[int], bool, bool] = (set(), False, False)
+_TEXTS = ("text", "all_text")
 _SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/$""")
 
 
@@ -99,13 +103,12 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 class _Element:
-    __slots__ = ("tag", "state", "counts", "hits", "texts")
+    __slots__ = ("tag", "state", "counts", "hits")
 
     def __init__(self, tag, state):
         self.tag, self.state = tag, state
         self.counts = None   # children seen, per tag
         self.hits = ()    # (rule, number, index of the value to fill at the end, start)
-        self.texts = 0    # how many of them take text
 
 
 class _Reader:
@@ -187,17 +190,22 @@ class _Reader:
     def _read(self, html: str) -> None:
         self.html = html
         self.open = [_Element("", self.outside)]
-        self.takers: list[_Element] = []   # open elements that take text
+        self.taking: dict[Rule, list[int]] = {}   # open elements of the rules that take all text
+        self.writing: dict[str, int] = {}   # open elements of the rules that take a place or markup
         self.inner: dict[str, list[int]] = {name: [] for name in self.scopes}
-        self.depths: dict[str, int] = {}   # open elements per tag
+        self.where: dict[str, list[int]] = {}   # places in the stack per tag
         self.seen = dict.fromkeys(self.names, 0)
-        self.pos = self.texts = at = 0
-        while token := _TOKEN.search(html, at):
+        self.pos = at = 0
+        self.texts = 0   # open elements that take text
+        limit = html.rfind(">") + 1   # no token ends beyond
+        while token := _TOKEN.search(html, at, limit):
             if self.texts and token.start() > at:
                 self._text(html[at:token.start()])
-            ended, started, attributes = token.groups()
+            comment, ended, started, attributes = token.groups()
             at = token.end()
-            if started:
+            if comment and not comment.endswith("-->"):
+                at = len(html)
+            elif started:
                 tag = started.lower()
                 self._start(tag, attributes, token.start(), at)
                 if tag in _RAW:
@@ -217,22 +225,27 @@ class _Reader:
         return len(self.found[rule.name][0]) - 1
 
     def _text(self, text: str) -> None:
+        """Once per rule, as a text is one node of the page however its elements are nested."""
         if "&" in text:
             text = unescape(text)
-        top = self.open[-1]
-        for element in self.takers:
-            for rule, number, _, _ in element.hits:
-                if rule.take == "all_text" or (rule.take == "text" and element is top):
-                    self._add(rule, number, text)
+        for rule, numbers in self.taking.items():
+            if numbers:
+                self._add(rule, numbers[-1], text)
+        for rule, number, _, _ in self.open[-1].hits:
+            if rule.take == "text":
+                self._add(rule, number, text)
 
     def _close_to(self, depth: int, end: int) -> None:
         while len(self.open) > depth:
             element = self.open.pop()
-            self.depths[element.tag] -= 1
-            if element.texts:
-                self.texts -= element.texts
-                self.takers.pop()
+            self.where[element.tag].pop()
             for rule, _, slot, start in element.hits:
+                if rule.take in _TEXTS:
+                    self.texts -= 1
+                if rule.take == "all_text":
+                    self.taking[rule].pop()
+                elif rule.name in self.writing:
+                    self.writing[rule.name] -= 1
                 if rule.name in self.inner:
                     self.inner[rule.name].pop()
                 if slot is not None:
@@ -250,28 +263,18 @@ class _Reader:
         cls, title = given.get("class", ""), given.get("title", "")
         state, ended = self._move(parent.state, tag, number, cls, title)
         element = _Element(tag, state)
+        self.where.setdefault(tag, []).append(len(self.open))
         self.open.append(element)
-        self.depths[tag] = self.depths.get(tag, 0) + 1
         for rule in ended:
             self._hit(element, rule, given, start)
-        if element.texts:
-            self.takers.append(element)
         if tag in _VOID or attributes[-1:] == "/" and _SELF_CLOSED.search(attributes):
             self._close_to(len(self.open) - 1, end)
 
     def _end_implied(self, tag: str, start: int) -> None:
         ends, barrier = _ENDS[tag]
-        for other in ends:
-            if self.depths.get(other):
-                break
-        else:
-            return
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag in ends:
-                self._close_to(depth, start)
-                break
-            if self.open[depth].tag in barrier:
-                break
+        nearest = max((self.where[t][-1] for t in ends if self.where.get(t)), default=0)
+        if nearest and all(not self.where.get(t) or self.where[t][-1] < nearest for t in barrier):
+            self._close_to(nearest, start)
 
     def _hit(self, element: _Element, rule: Rule, given: dict[str, str], start: int) -> None:
         number = self.seen[rule.name]
@@ -279,22 +282,25 @@ class _Reader:
         slot = None
         if rule.take in ("mark", "html"):
             slot = self._add(rule, number, None)
+            # What stands inside another element of the rule is in that one's markup already.
+            nested = self.writing.get(rule.name, 0)
+            self.writing[rule.name] = nested + 1
+            slot = None if nested else slot
         elif rule.take[0] == "@":
             value = given.get(rule.take[1:])
             if value is not None:
                 self._add(rule, number, value)
         else:
-            element.texts += 1
             self.texts += 1
+            if rule.take == "all_text":
+                self.taking.setdefault(rule, []).append(number)
         element.hits += ((rule, number, slot if rule.take == "html" else None, start),)
         if rule.name in self.inner:
             self.inner[rule.name].append(number)
 
     def _end(self, tag: str, start: int, end: int) -> None:
-        if self.depths.get(tag):
-            depth = len(self.open) - 1
-            while self.open[depth].tag != tag:
-                depth -= 1
+        if places := self.where.get(tag):
+            depth = places[-1]
             self._close_to(depth + 1, start)
             self._close_to(depth, end)
 
