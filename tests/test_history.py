@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,6 +10,7 @@ from conftest import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tidemark.functions import text
 from tidemark.operators import audit, consolidate, merge, replay
 from tidemark.sources.history_store import HistoryStore
 
@@ -196,3 +198,134 @@ def test_duplicate_cleanup_keeps_newest_load(spark):
     kept = audit.drop_duplicate_versions(frame)
     assert rows(kept.select("id_hash", "checksum", "load_id"), "id_hash", "checksum") == [
         ("a", "1", 3), ("a", "2", 2), ("b", "1", 1)]
+
+
+# --- the store by key buckets ---------------------------------------------------------------
+
+def small_store(spark, folder, buckets=4, schema=VERSION):
+    return HistoryStore(spark, folder, spark.createDataFrame([], schema).schema, buckets=buckets)
+
+
+def observed(spark, snapshots):
+    return spark.createDataFrame([(n, k, c, c) for n, s in snapshots for k, c in s.items()], "run long, " + STATE)
+
+
+def content(store):
+    return sorted(map(tuple, store.versions().collect()), key=repr)
+
+
+def test_partial_run_reads_the_buckets_of_its_keys_only(spark, folder):
+    store = small_store(spark, folder, buckets=16)
+    store.merge(snapshot_frame(spark, {f"k{i}": "A" for i in range(300)}), 0, day(0), mode=merge.COMPLETE)
+    store.compact()
+    store.merge(snapshot_frame(spark, {"k3": "B", "k4": "B"}), 1, day(1), mode=merge.PARTIAL)
+    bucket = {r.bucket for r in snapshot_frame(spark, {"k7": ""}).select(store.bucket_of().alias("bucket")).collect()}
+    part = store._active(store.state(), bucket)
+    text = part._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ = ", text)
+    # A one-key run reads one bucket: rows of all others could be lost without it noticing.
+    lost = next(d for d in os.listdir(f"{folder}/base/run=0/part=active") if d.startswith("bucket=")
+                and d != f"bucket={min(bucket)}")
+    os.rename(f"{folder}/base/run=0/part=active/{lost}", f"{folder}/lost")
+    store.merge(snapshot_frame(spark, {"k7": "C"}), 2, day(2), mode=merge.PARTIAL)
+    assert rows(store.active().where("id_hash = 'k7'").select("title")) == [("C",)]
+
+
+def test_layout_of_a_store_is_that_of_its_first_run(spark, folder):
+    small_store(spark, folder, buckets=4).merge(snapshot_frame(spark, {"a": "A"}), 0, day(0), mode=merge.COMPLETE)
+    again = small_store(spark, folder, buckets=9)
+    again.merge(snapshot_frame(spark, {"a": "B"}), 1, day(1), mode=merge.PARTIAL)
+    assert again.buckets == 4 and rows(again.retired().select("title")) == [("A",)]
+
+
+@pytest.mark.parametrize("seed,border,compacted", [(1, 3, True), (2, 1, False), (3, 0, False), (4, 5, True)])
+def test_replay_into_a_store_equals_run_by_run_merges(spark, folder, seed, border, compacted):
+    snapshots = random_snapshots(seed)
+    snapshots[4] = {}  # a run that shows nothing
+    store = small_store(spark, folder)
+    for number in range(border):
+        store.merge(snapshot_frame(spark, snapshots[number]), number + 1, day(number), mode=merge.COMPLETE)
+    if compacted:
+        store.compact()
+    rest = [(n + 1, s) for n, s in enumerate(snapshots)][border:]
+    calendar = [(n, day(n - 1)) for n, _ in rest]
+    assert store.replay(observed(spark, rest), calendar)
+    assert content(store) == brute_force(snapshots)
+    assert not store.replay(observed(spark, rest), calendar)
+    # Later runs go on from there.
+    more = {"k0": "Z", "k1": snapshots[-1].get("k1", "Y")}
+    store.merge(snapshot_frame(spark, more), 8, day(7), mode=merge.COMPLETE)
+    assert content(store) == brute_force([*snapshots, more])
+    with pytest.raises(ValueError, match="not after|older"):
+        store.replay(observed(spark, [(2, more)]), [(2, day(9)), (9, day(9))])
+
+
+def test_repair_rewrites_only_buckets_with_duplicates(spark, folder):
+    store = small_store(spark, folder, buckets=8)
+    snapshots = [{f"k{i}": "A" for i in range(40)}, {f"k{i}": "B" if i == 5 else "A" for i in range(40)}]
+    snapshots.append(snapshots[0])  # k5 goes A, B, A: the first A is a planted duplicate
+    for number, snapshot in enumerate(snapshots):
+        store.merge(snapshot_frame(spark, snapshot), number + 1, day(number), mode=merge.COMPLETE)
+        if number == 1:
+            store.compact()
+    wanted = sorted(map(tuple, audit.drop_duplicate_versions(store.versions()).collect()), key=repr)
+    assert len(wanted) == store.versions().count() - 1
+    changed = store.drop_duplicates(4, day(3))
+    assert len(changed) == 1 and content(store) == wanted
+    assert {d for d in os.listdir(f"{folder}/base/run=4-part/part=active") if d[0] == "b"} == {f"bucket={min(changed)}"}
+    assert store.drop_duplicates(5, day(4)) == set() and store.drop_duplicates(4, day(4)) == set()
+    assert content(store) == wanted and store.runs() == [1, 2, 3, 4]
+    # The history goes on, over a base of some buckets and over whole ones.
+    for number in (5, 6):
+        store.merge(snapshot_frame(spark, {"k5": f"C{number}", "k6": "A"}), number, day(number), mode=merge.PARTIAL)
+        if number == 5:
+            assert store.compact() == 5
+    assert rows(store.active().where("id_hash = 'k5'").select("title", "load_id")) == [("C6", 6)]
+    assert store.active().count() == 40 and store.versions().count() == len(wanted) + 2
+
+
+def test_repair_without_its_commit_changes_nothing(spark, folder):
+    store = small_store(spark, folder)
+    for number, title in enumerate("ABA"):
+        store.merge(snapshot_frame(spark, {"a": title}), number, day(number), mode=merge.COMPLETE)
+    before = content(store)
+    store.drop_duplicates(3, day(3))
+    os.rename(f"{folder}/commits/run=3", f"{folder}/lost")  # it died before its commit
+    assert content(store) == before
+    assert store.drop_duplicates(3, day(3)) and len(content(store)) == 2
+
+
+def test_new_watched_field_opens_only_what_shows_it(spark, folder):
+    state = "id_hash string, title string, extra string, checksum string"
+    wide = state + ", on_website_from timestamp_ntz, on_website_to timestamp_ntz, load_id long"
+
+    def snapshot(values, fields):
+        frame = spark.createDataFrame([(k, t, x) for k, (t, x) in values.items()], "id_hash string, title string, extra string")
+        return frame.withColumn("checksum", text.content_checksum(fields))
+
+    values = {f"k{i}": ("A", None) for i in range(6)}
+    small_store(spark, folder).merge(snapshot(values, ["title"]).drop("extra"), 0, day(0), mode=merge.COMPLETE, watched=["title"])
+    store = small_store(spark, folder, schema=wide)
+    both = ["extra", "title"]
+    assert store.rewatch(1, day(1), both) and not store.rewatch(1, day(1), both)
+    values = {k: (t, "new" if int(k[1]) % 2 else None) for k, (t, _) in values.items()}
+    store.merge(snapshot(values, both), 2, day(2), mode=merge.COMPLETE, watched=both)
+    assert rows(store.retired().select("id_hash", "load_id"), "id_hash") == [("k1", 0), ("k3", 0), ("k5", 0)]
+    assert rows(store.active().select("id_hash", "extra", "load_id"), "id_hash") == [
+        (f"k{i}", "new" if i % 2 else None, 2 if i % 2 else 0) for i in range(6)]
+    with pytest.raises(ValueError, match="watches other fields"):
+        store.merge(snapshot(values, ["title"]), 3, day(3), mode=merge.COMPLETE, watched=["title"])
+
+
+def test_a_late_batch_reads_no_more_folders_than_an_early_one(spark, folder):
+    store, read = small_store(spark, folder, buckets=2), []
+    for number in range(24):
+        state = store.state()
+        if store.compaction_due(state):
+            store.compact()
+            state = store.state()
+        since = min(state.since(b) for b in range(2))
+        read.append((sum(row.run > since for row in state.commits), len(store.commits().inputFiles())))
+        store.merge(snapshot_frame(spark, {f"k{number % 3}": f"{number}"}), number, day(number), mode=merge.PARTIAL, state=state)
+    assert max(n for n, _ in read) <= 10 and max(files for _, files in read) <= 12
+    assert store.versions().count() == 24 and store.active().count() == 3

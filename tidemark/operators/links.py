@@ -87,7 +87,12 @@ def first_seen(resolved: DataFrame) -> DataFrame:
 
 def duplicate_links(resolved: DataFrame) -> DataFrame:
     """L4: each later occurrence, where it was found and where the original stands."""
-    firsts = first_seen(resolved).filter("occurrences > 1").select(
+    return duplicates_of(resolved, first_seen(resolved))
+
+
+def duplicates_of(resolved: DataFrame, firsts: DataFrame) -> DataFrame:
+    """L4 where the first occurrences (L3) are known already."""
+    firsts = firsts.filter("occurrences > 1").select(
         "url", F.col("page_no").alias("original_page_no"), F.col("pos").alias("original_pos"),
         F.col("page_url").alias("original_page_url"), "occurrences",
     )
@@ -130,12 +135,13 @@ def incomplete_cards(pieces: DataFrame) -> DataFrame:
 
 def discovery_totals(pieces: DataFrame, resolved: DataFrame) -> DataFrame:
     """Running totals of cards and of first-seen URLs, page by page."""
-    new_urls = first_seen(resolved).groupBy("page_no").agg(F.count(F.lit(1)).alias("new_urls"))
-    per_page = (
-        pieces.select("page_no", F.size("card").cast("long").alias("cards"))
-        .join(new_urls, "page_no", "left")
-        .fillna(0, ["new_urls"])
-    )
+    return totals_of(pieces.select("page_no", F.size("card").cast("long").alias("cards")), first_seen(resolved))
+
+
+def totals_of(cards: DataFrame, firsts: DataFrame) -> DataFrame:
+    """L7 from the cards per page and the first occurrences (L3)."""
+    new_urls = firsts.groupBy("page_no").agg(F.count(F.lit(1)).alias("new_urls"))
+    per_page = cards.join(new_urls, "page_no", "left").fillna(0, ["new_urls"])
     return running_totals(
         per_page, "page_no", {"total_cards": "cards", "total_urls": "new_urls"}
     )

@@ -52,3 +52,34 @@ def replay(observations: DataFrame, run: str, calendar: DataFrame | None = None,
         .drop("_starts", "_ends", "_run_before", "_run_after", "_run_no",
               *([] if run == names.valid_from else [run]))
     )
+
+
+def continue_history(active: DataFrame, observations: DataFrame, calendar: DataFrame,
+                     names: VersionColumns = VERSION_COLUMNS) -> DataFrame:
+    """H3 over a border: what many snapshots do to a history whose active versions are known.
+
+    All inputs are narrow: ``active`` has key, checksum and load, ``observations`` key, checksum
+    and ``_run``, ``calendar`` every ``_run`` with its time ``_at`` (one row per run, so it is
+    broadcast). Returns key, load, start, end and ``_starts``: a row per version that opens, with
+    its end if that is known already, and one per active version that ends. An active version
+    is an observation just before the first run; the island it belongs to began earlier.
+    """
+    order = Window.orderBy("_run")
+    runs = F.broadcast(stored(calendar.select(
+        "_run", "_at", F.row_number().over(order).alias("_no"), F.lead("_at").over(order).alias("_after")), "calendar"))
+    first_at = calendar.agg(F.min_by("_at", "_run")).scalar()
+    seen = observations.join(runs, "_run").select(
+        names.key, names.checksum, "_no", F.col("_run").alias(names.load), F.col("_at").alias(names.valid_from), "_after")
+    known = active.select(
+        names.key, names.checksum, F.lit(0).alias("_no"), names.load,
+        F.lit(None).cast("timestamp_ntz").alias(names.valid_from), first_at.alias("_after"))
+    by_key = Window.partitionBy(names.key).orderBy("_no")
+    here = F.struct("_no", names.checksum)
+    joined = known.unionByName(seen).withColumns({
+        "_starts": ~F.equal_null(F.lag(here).over(by_key), F.struct(F.col("_no") - 1, F.col(names.checksum))),
+        "_ends": ~F.equal_null(F.lead(here).over(by_key), F.struct(F.col("_no") + 1, F.col(names.checksum))),
+    })
+    end = F.when(F.col("_ends"), F.col("_after")).otherwise(F.lead("_after").over(by_key))
+    edges = joined.where("_starts OR _ends").withColumn(names.valid_to, end).where("_starts")
+    found = edges.select(names.key, names.load, names.valid_from, names.valid_to, (F.col("_no") > 0).alias("_starts"))
+    return found.where(F.col("_starts") | F.col(names.valid_to).isNotNull())

@@ -19,6 +19,7 @@ from tidemark.session import shared_folder, stored
 from tidemark.sources import published, tables
 from tidemark.sources.history_store import HistoryStore
 from tidemark.streaming import ingest
+from tidemark.streaming.discovery import Discovery
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,19 +117,69 @@ def replaced_table(spark, folder):
     return publishing.flat_lists(spark.read.parquet(path))
 
 
-def _merged(spark, folder, compact_every: int | None = None) -> HistoryStore:
-    """Weekly snapshots of the user states, merged run by run."""
-    store = HistoryStore(spark, shared_folder(spark, "history"), _schema(spark, STATE_SCHEMA))
+def _weekly(spark, folder, schema: str = STATE_SCHEMA):
+    """A new store, the weekly snapshots of the user states, and the weeks in order."""
+    store = HistoryStore(spark, shared_folder(spark, "history"), _schema(spark, schema), buckets=8)
     weekly = store.materialise(states(spark, folder, "week"), "snapshots", 0)
-    weeks = [r.run_at for r in weekly.select("run_at").distinct().orderBy("run_at").collect()]
+    return store, weekly, [r.run_at for r in weekly.select("run_at").distinct().orderBy("run_at").collect()]
+
+
+def _of(weekly: DataFrame, week: datetime) -> DataFrame:
+    return weekly.filter(F.col("run_at") == F.lit(week.isoformat()).cast("timestamp_ntz"))
+
+
+def _merged(spark, folder, compact_every: int | None = None, mode: str = merge.COMPLETE) -> HistoryStore:
+    """Weekly snapshots of the user states, merged run by run."""
+    store, weekly, weeks = _weekly(spark, folder)
     for number, week in enumerate(weeks, 1):
-        this_week = F.col("run_at") == F.lit(week.isoformat()).cast("timestamp_ntz")
-        store.merge(weekly.filter(this_week), number, week, mode=merge.COMPLETE, staged=True)
+        store.merge(_of(weekly, week), number, week, mode=mode, staged=True)
         if compact_every and number % compact_every == 0:
             store.compact()
     return store
 
 
+def partial_store(spark, folder):
+    """The weeks as partial runs: users who are absent stay, and only touched buckets are read."""
+    return _merged(spark, folder, compact_every=2, mode=merge.PARTIAL).versions()
+
+
+def replayed_into_store(spark, folder):
+    """Two weeks merged run by run, all others added in one job."""
+    store, weekly, weeks = _weekly(spark, folder)
+    for number, week in enumerate(weeks[:2], 1):
+        store.merge(_of(weekly, week), number, week, mode=merge.COMPLETE, staged=True)
+    rest = list(enumerate(weeks, 1))[2:]
+    if rest:
+        runs = spark.createDataFrame(rest, "run long, run_at timestamp_ntz")
+        store.replay(weekly.join(F.broadcast(runs), "run_at"), rest)  # one row per run
+    return store.versions()
+
+
+def repaired_store(spark, folder):
+    """A history with returns to earlier content, whose buckets with duplicates are written anew."""
+    store = _merged(spark, folder, compact_every=3)
+    state = store.state()
+    store.drop_duplicates(state.last + 1, state.commits[-1].run_at)
+    return store.versions()
+
+
+def new_watched_field(spark, folder):
+    """From the third week on every second user shows a new field; only they get new versions.
+
+    Runs have even numbers; the change of fields is a run of its own between two of them.
+    """
+    store, weekly, weeks = _weekly(spark, folder, STATE_SCHEMA.replace("checksum", "extra string, checksum", 1))
+    both = ["extra", "title"]
+    for number, week in enumerate(weeks, 1):
+        watched = ["title"] if number < 3 else both
+        extra = F.when((F.col("id_hash") % 2 == 0) & F.lit(number >= 3), "even")
+        if number == 3:
+            store.rewatch(2 * number - 1, week, both)
+        snapshot = _of(weekly, week).withColumn("extra", extra.cast("string")).withColumn("checksum", content_checksum(watched))
+        store.merge(snapshot, 2 * number, week, mode=merge.COMPLETE, watched=watched)
+    return store.versions().drop("checksum")
+
+
 def merged_store(spark, folder):
     return _merged(spark, folder).versions()
 
@@ -292,6 +343,30 @@ def streamed_pages(spark, folder):
     return store.active().select("id_hash", "id_url")
 
 
+def _discovered(spark, folder) -> Discovery:
+    """Listing pages that arrive in files, the later half of the pages first, in two starts."""
+    found = Discovery(spark, shared_folder(spark, "discovery"), files_per_batch=2)
+    listings = inputs.listing_pages(tables.table(spark, folder, "part")).select("page_id", "url", "html")
+    arriving = f"{found.root}/arriving"
+    middle = listings.agg(F.max("page_id") / 2).scalar()
+    for late in (F.col("page_id") > middle, F.col("page_id") <= middle):
+        listings.where(late).repartition(3, "page_id").write.mode("append").parquet(arriving)
+        found.run(ingest.page_stream(spark, arriving, files_per_batch=2))
+    return found
+
+
+def streamed_first_seen(spark, folder):
+    return _discovered(spark, folder).first_seen().drop("page_url")
+
+
+def streamed_duplicates(spark, folder):
+    return _discovered(spark, folder).duplicate_links().drop("page_url", "original_pos")
+
+
+def streamed_totals(spark, folder):
+    return _discovered(spark, folder).discovery_totals()
+
+
 def compacted_store(spark, folder):
     """Weekly snapshots merged run by run with a compaction after every third run."""
     return _merged(spark, folder, compact_every=3).versions()
@@ -452,7 +527,14 @@ QUERIES: dict[str, Query] = {
         current, lambda df: analytics.has_null(df, "on_website_from")),
     "a16_pick_deleted": _over(current, analytics.pick_deleted, "id_hash", "deleted"),
     "t1_streamed_pages": streamed_pages,
+    "l3_streamed_first_seen": streamed_first_seen,
+    "l4_streamed_duplicates": streamed_duplicates,
+    "l7_streamed_totals": streamed_totals,
     "s4_compacted_store": compacted_store,
+    "s4_partial_store": partial_store,
+    "h3_replay_into_store": replayed_into_store,
+    "h11_repaired_store": repaired_store,
+    "i3_new_watched_field": new_watched_field,
     "x15_issues_of_a_run": rejected_records,
     "u1_markdown_of_articles": _over(
         lambda s, d: inputs.shaped_articles(tables.table(s, d, "documents")),

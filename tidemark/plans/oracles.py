@@ -189,6 +189,19 @@ SELECT url, page_no, pos, n AS occurrences FROM (
     count(*) OVER (PARTITION BY url) AS n FROM r) WHERE rn = 1
 """
 
+LATER = """
+SELECT url, page_no, pos, original_page_no, original_page_url FROM (
+  SELECT *, row_number() OVER w AS rn, first_value(page_no) OVER w AS original_page_no,
+    first_value(page_url) OVER w AS original_page_url
+  FROM r WINDOW w AS (PARTITION BY url ORDER BY page_no, pos)) WHERE rn > 1"""
+TOTALS = f"""
+, f AS ({FIRST}),
+per_page AS (
+  SELECT page_no, count(*) AS cards, (SELECT count(*) FROM f WHERE f.page_no = card.page_no)
+    AS new_urls FROM card GROUP BY page_no)
+SELECT page_no, cards, new_urls, CAST(sum(cards) OVER (ORDER BY page_no) AS BIGINT) AS total_cards,
+  CAST(sum(new_urls) OVER (ORDER BY page_no) AS BIGINT) AS total_urls FROM per_page"""
+
 # --- detail pages -----------------------------------------------------------
 D = """
 doc AS (
@@ -282,6 +295,29 @@ ORACLES: dict[str, str] = {
     "s3_replace_table": _on_v(f"SELECT {_V_COLUMNS} FROM v"),
     "s4_history_store": _replay("week"),
     "s4_compacted_store": _replay("week"),
+    "h3_replay_into_store": _replay("week"),
+    "s4_partial_store": f"""
+WITH {_states('week')},
+runs AS (SELECT run_at, row_number() OVER (ORDER BY run_at) AS load_id FROM (SELECT DISTINCT run_at FROM s)),
+c AS (
+  SELECT * FROM (SELECT *, lag(checksum) OVER (PARTITION BY id_hash ORDER BY run_at) AS before FROM s)
+  WHERE before IS DISTINCT FROM checksum)
+SELECT id_hash, title, checksum, run_at AS on_website_from,
+  lead(run_at) OVER (PARTITION BY id_hash ORDER BY run_at) AS on_website_to, load_id
+FROM c JOIN runs USING (run_at)""",
+    "h11_repaired_store": f"""
+WITH v AS ({_replay("week")})
+SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY id_hash, checksum ORDER BY load_id DESC) = 1""",
+    "i3_new_watched_field": f"""
+WITH {_states('week')},
+n AS (SELECT run_at, row_number() OVER (ORDER BY run_at) AS week FROM (SELECT DISTINCT run_at FROM s)),
+t AS (
+  SELECT id_hash, run_at, title || CASE WHEN week >= 3 AND id_hash::BIGINT % 2 = 0 THEN '+even' ELSE '' END AS title,
+    title || CASE WHEN week >= 3 AND id_hash::BIGINT % 2 = 0 THEN '+even' ELSE '' END AS checksum
+  FROM s JOIN n USING (run_at))
+SELECT id_hash, string_split(title, '+')[1] AS title, CASE WHEN title LIKE '%+even' THEN 'even' END AS extra,
+  on_website_from, on_website_to, 2 * load_id AS load_id
+FROM ({_versions_of('t').replace('runs AS (', 'WITH runs AS (', 1)})""",
     "s5_read_versions": _on_v("SELECT id_hash, title, on_website_from, on_website_to FROM v "
                               "WHERE on_website_to IS NOT NULL"),
     "s6_full_parquet": _on_cur(f"SELECT {_CUR_COLUMNS} FROM cur"),
@@ -295,6 +331,9 @@ ORACLES: dict[str, str] = {
     "l2_canonical_links": f"WITH {NAV} SELECT page_no, pos, url FROM r",
     "l3_first_seen": f"WITH {NAV} {FIRST}",
     "l3_first_seen_cards": f"WITH {CARDS} {FIRST}",
+    "l3_streamed_first_seen": f"WITH {CARDS} {FIRST}",
+    "l4_streamed_duplicates": f"WITH {CARDS} {LATER}",
+    "l7_streamed_totals": f"WITH {CARDS} {TOTALS}",
     "l9_pages_of_links": f"""
 SELECT f.url, f.page_no, p.page_id FROM (WITH {CARDS} {FIRST}) f JOIN (
   SELECT 'https://www.example.org/FDB/Content/DE/Foerderprogramm/' || replace(p_name, ' ', '-') || '.html' AS url, min(p_partkey) AS page_id
@@ -302,11 +341,7 @@ SELECT f.url, f.page_no, p.page_id FROM (WITH {CARDS} {FIRST}) f JOIN (
     "l9_links_without_page": f"""
 SELECT f.url, f.page_no FROM (WITH {CARDS} {FIRST}) f WHERE f.url NOT IN (
   SELECT 'https://www.example.org/FDB/Content/DE/Foerderprogramm/' || replace(p_name, ' ', '-') || '.html' FROM part WHERE p_brand <> 'Brand#3')""",
-    "l4_duplicate_links": f"""
-WITH {CARDS} SELECT url, page_no, pos, original_page_no, original_page_url FROM (
-  SELECT *, row_number() OVER w AS rn, first_value(page_no) OVER w AS original_page_no,
-    first_value(page_url) OVER w AS original_page_url
-  FROM r WINDOW w AS (PARTITION BY url ORDER BY page_no, pos)) WHERE rn > 1""",
+    "l4_duplicate_links": f"WITH {CARDS} {LATER}",
     "l5_listing_quality": f"""
 WITH {NAV} SELECT page_no, CAST(len(hrefs) AS INTEGER) AS cards,
   CASE WHEN len(hrefs) = 0 THEN 'none' WHEN len(hrefs) <> 10 THEN 'unexpected' ELSE 'ok' END
@@ -314,13 +349,7 @@ WITH {NAV} SELECT page_no, CAST(len(hrefs) AS INTEGER) AS cards,
     "l6_incomplete_cards": f"""
 WITH {CARDS} SELECT page_no, card_no, url IS NULL AS missing_link, no_text AS missing_text
 FROM card WHERE url IS NULL OR no_text""",
-    "l7_discovery_totals": f"""
-WITH {CARDS}, f AS ({FIRST}),
-per_page AS (
-  SELECT page_no, count(*) AS cards, (SELECT count(*) FROM f WHERE f.page_no = card.page_no)
-    AS new_urls FROM card GROUP BY page_no)
-SELECT page_no, cards, new_urls, CAST(sum(cards) OVER (ORDER BY page_no) AS BIGINT) AS total_cards,
-  CAST(sum(new_urls) OVER (ORDER BY page_no) AS BIGINT) AS total_urls FROM per_page""",
+    "l7_discovery_totals": f"WITH {CARDS} {TOTALS}",
     "l8_next_pages": f"""
 WITH {CARDS} SELECT page_no, CASE WHEN page_no < (SELECT max(page_no) FROM card)
   THEN '?page=' || (page_no + 1) END AS next_href FROM (SELECT DISTINCT page_no FROM card)""",

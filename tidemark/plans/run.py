@@ -16,7 +16,7 @@ from tidemark.operators.consolidate import consolidate_parts
 from tidemark.operators.identity import require_unique
 from tidemark.operators.publishing import min_table, with_markdown
 from tidemark.schema import LICENSE_TEXT, PROGRAM_SCHEMA, WATCHED_FIELDS
-from tidemark.sources.history_store import HistoryStore
+from tidemark.sources.history_store import HistoryStore, State
 from tidemark.sources.published import publish_min, write_parquet
 
 
@@ -60,13 +60,14 @@ def split(checked: DataFrame, repeated: DataFrame | None = None) -> Snapshot:
 def load_run(pages: DataFrame, store: HistoryStore, run: int, run_at: datetime, *,
              mode: str, source: str | None = None, batch: int | None = None,
              rules: Sequence[Rule] = extraction.DETAIL_RULES,
-             markers: Sequence[str] = SLUG_MARKERS) -> bool:
+             markers: Sequence[str] = SLUG_MARKERS, state: State | None = None) -> bool:
     """One scheduled run into the store: extract, check, merge, commit.
 
     What a run sets aside is kept beside it: ``rejected`` records, page ``issues`` and
     ``repeated`` keys are tables of the run (``run_report`` reads them).
     """
-    if run in store.runs():
+    state = state or store.state()
+    if any(row.run == run for row in state.commits):
         return False
     checked = store.materialise(read_records(pages, run_at, rules=rules, markers=markers), "extracted", run)
     repeated = store.materialise(split(checked).repeated, "repeated", run)
@@ -74,7 +75,7 @@ def load_run(pages: DataFrame, store: HistoryStore, run: int, run_at: datetime,
     store.materialise(found.rejected, "rejected", run)
     store.materialise(found.issues, "issues", run)
     return store.merge(found.records, run, run_at, mode=mode, watched=WATCHED_FIELDS,
-                       staged=True, source=source, batch=batch)
+                       staged=True, source=source, batch=batch, state=state)
 
 
 REPORTS = ("rejected", "issues", "repeated")

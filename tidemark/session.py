@@ -48,6 +48,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path``, in one listing; none if it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(where):
+        return []
+    return sorted(entry.getPath().getName() for entry in system.listStatus(where) if entry.isDirectory())
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back.
 

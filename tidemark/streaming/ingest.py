@@ -44,13 +44,18 @@ def ingest(stream: DataFrame, store: HistoryStore, checkpoint: str,
     store hands out the run number and commits it with the id of the checkpoint and the batch
     number: a batch replayed after a failure finds its commit and changes nothing. Another
     stream, or the same one after its checkpoint was lost, has another id, so all of its
-    batches are merged; pages seen before make no new version.
+    batches are merged; pages seen before make no new version. The state of the store is read
+    once per batch, and the store is compacted when that is due, so a batch late in a long
+    stream reads no more folders than an early one.
     """
     def merge(batch: DataFrame, number: int) -> None:
-        source = _query_id(store.spark, checkpoint)
-        if store.find(source, number) is None:
-            load_run(batch, store, store.next_run(), run_at(number), mode=PARTIAL,
-                     source=source, batch=number, **layout)
+        source, state = _query_id(store.spark, checkpoint), store.state()
+        if store.find(source, number, state) is None:
+            if store.compaction_due(state):
+                store.compact()
+                state = store.state()
+            load_run(batch, store, state.last + 1, run_at(number), mode=PARTIAL,
+                     source=source, batch=number, state=state, **layout)
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
