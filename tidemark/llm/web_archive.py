@@ -37,6 +37,7 @@ from tidemark.session import shared_folder, stored
 
 # A task begins another package beyond these; a range of records that one read takes.
 PACKAGE_BYTES, PACKAGE_RECORDS, RANGE_BYTES = 1 << 30, 200_000, 8 << 20
+RANGES_PER_TASK = 64
 WARC_MEMBER, INDEX_MEMBER = "archive/pages.warc.gz", "indexes/index.cdxj"
 # Fixed values of the formats.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -417,7 +418,10 @@ def read(packages: DataFrame, path_col: str = "path", with_payload: bool = False
                     yield _batch(rows, RECORDS)
 
     found = ranges(packages, path_col, range_bytes, strict)
-    rows = found.repartition("path", "start").mapInArrow(run, RECORDS)
+    # By number, as the rows of ranges are tiny and would be put together into one task.
+    n, parts = found.count(), int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(n, max(parts, n // RANGES_PER_TASK)))
+    rows = found.repartition(tasks, "path", "start").mapInArrow(run, RECORDS)
     return rows if with_payload else rows.drop("payload")
 
 
