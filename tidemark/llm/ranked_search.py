@@ -28,7 +28,7 @@ from tidemark.session import stored
 
 K = 10
 # Pieces that are visited first for every item, postings of a piece, bytes of item text in a block.
-FIRST, POSTINGS, ITEM_BYTES = 3, 1 << 18, 4 << 20
+FIRST, POSTINGS, ITEM_BYTES = 3, 1 << 14, 4 << 20
 # Terms are runs of ASCII letters and digits and of bytes beyond ASCII.
 _KEPT = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEPT else 0x20 for c in range(256))
