@@ -6,7 +6,8 @@ from pages import FALLBACK, TABBED
 
 from tidemark.functions.markdown import _Writer
 from tidemark.operators import publishing
-from tidemark.plans.run import load_run, publish_history
+from tidemark.plans import run
+from tidemark.plans.run import load_run, publish_history, run_counts
 from tidemark.schema import LICENSE_TEXT, MIN_FIELDS, RECORD_FIELDS
 from tidemark.sources import published, tables
 from tidemark.sources.history_store import HistoryStore
@@ -87,10 +88,33 @@ def test_runs_end_to_end(spark, folder):
     assert not full["bund-p0"].deleted and full["bund-p1"].deleted
     assert full["bund-p0"].funding_area[-1] == "Wasser"
     assert set(RECORD_FIELDS) <= set(full["bund-p0"].asDict())
-    minimal = spark.read.parquet(folder + "/out/min_data_format.parquet")
+    minimal = published.read_published(spark, folder + "/out", "min_data_format.parquet")
     assert minimal.columns == list(MIN_FIELDS)
     assert dict(minimal.dtypes)["funding_area"] == "array<string>"
-    back = published.read_csv(spark, folder + "/out/min_data_format.csv", minimal)
+    newest = published.Publication.newest(spark, folder + "/out")
+    back = published.read_csv(spark, newest.path("min_data_format.csv"), minimal)
     assert rows(back, "id_hash") == rows(publishing.flat_lists(minimal), "id_hash")
-    text = "\n".join(r.value for r in spark.read.text(folder + "/out/LICENSE-DATA").collect())
+    text = "\n".join(r.value for r in spark.read.text(newest.path("LICENSE-DATA")).collect())
     assert text.strip() == LICENSE_TEXT.strip()
+
+    # A failure on the way, or a repeated key, leaves the last publication as it was.
+    before = sorted(map(str, published.read_published(spark, folder + "/out").collect()))
+    again = changed.union(frame((5, TABBED)))
+    assert load_run(again, store, 4, datetime(2025, 6, 25), mode="complete")
+    for failing in ("require_unique", "publish_min"):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(run, failing, lambda *_: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                publish_history(store, folder + "/out")
+        assert sorted(map(str, published.read_published(spark, folder + "/out").collect())) == before
+    publish_history(store, folder + "/out")
+    assert published.read_published(spark, folder + "/out").where("id_url = 'bund-p5'").count() == 1
+    assert published.Publication.newest(spark, folder + "/out").name == "run=4-2"
+    assert [(r.run, r.pages, r.untitled, r.rejected, r.repeated, r.opened, r.closed)
+            for r in run_counts(store).orderBy("run").collect()] == [
+        (1, 2, 0, 0, 0, 2, 0), (2, 2, 0, 0, 0, 0, 0), (3, 1, 0, 0, 0, 1, 2), (4, 2, 0, 0, 0, 1, 0)]
+
+
+def test_nothing_published_is_an_error(spark, folder):
+    with pytest.raises(FileNotFoundError):
+        published.read_published(spark, folder)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import stored
@@ -153,19 +153,21 @@ def first_rows(df: DataFrame, order: str, n: int = 5) -> DataFrame:
 
 
 def row_at(df: DataFrame, order: str, position: int) -> DataFrame:
-    """The row at a position, counted from 0; none beyond the end.
+    """The row at a position, counted from 0; none beyond the end. Nulls come first.
 
-    Rows are dealt by range of ``order`` and written; the counts per partition tell which
-    one holds the position, and only that one is sorted. Nulls come first.
+    The position is found on ``order`` alone: its values are dealt by range and written, the
+    counts per range tell which one holds the position, and only that one is sorted. The
+    whole row is then read by its value. Among rows of equal value the choice is arbitrary.
     """
-    ranged = stored(df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "ranged")
-    counts = sorted((r._part, r["count"]) for r in ranged.groupBy("_part").count().collect())
+    ranged = stored(df.select(order).repartitionByRange(order).withColumn("_part", F.spark_partition_id()), "ranged")
     before = 0
-    for part, n in counts:
+    for part, n in sorted((r._part, r["count"]) for r in ranged.groupBy("_part").count().collect()):
         if position < before + n:
-            within = Window.orderBy(order)
-            return (ranged.filter(F.col("_part") == part).withColumn("_at", F.row_number().over(within))
-                    .filter(F.col("_at") == position - before + 1).drop("_part", "_at"))
+            here = ranged.filter(F.col("_part") == part)
+            value = here.orderBy(order).offset(position - before).limit(1).first()[order]
+            less = here.filter(F.coalesce(F.col(order) < F.lit(value), F.col(order).isNull() & F.lit(value is not None)))
+            equal = df.filter(F.col(order).eqNullSafe(F.lit(value)))
+            return equal.offset(position - before - less.count()).limit(1)
         before += n
     return df.filter("false")
 

@@ -63,14 +63,32 @@ def latest_retired(versions: DataFrame, columns: Sequence[str] | None = None,
             F.max(names.valid_to).alias("last_updated"),
         ).select(names.key, "previous_update_dates", "last_updated",
                  *[F.col(f"_old.{c}").alias(c) for c in rest])
-    # Joined on key and date, so the many dates of a hot key spread over the cluster.
-    history = retired_aggregate(versions, names)
-    every = old.join(
-        history.withColumn(names.valid_to, F.col("last_updated")), [names.key, names.valid_to]
-    ).select(names.key, "previous_update_dates", "last_updated", *columns, names.valid_from)
+    every = _tied(versions, columns, names).where("last_updated IS NOT NULL").select(
+        names.key, F.col("_dates").alias("previous_update_dates"), "last_updated", F.inline("_old"))
     return require_unique(every, names.key) if ties == "fail" else every
 
 
+def _tied(versions: DataFrame, columns: Sequence[str], names: VersionColumns) -> DataFrame:
+    """Per key its active versions and its latest retired ones, ties included, from one shuffle.
+
+    Rows are dealt by key once; both aggregates keep that. The first gathers the versions of
+    a key that end at the same time, the second keeps the latest of those lists, so the other
+    versions of a key are never held together.
+    """
+    rest = F.struct(*columns, names.valid_from)
+    ends = versions.repartition(names.key).groupBy(names.key, names.valid_to).agg(
+        F.collect_list(rest).alias("_list"), F.min(names.valid_from).alias("_first"))
+    ended = F.col(names.valid_to).isNotNull()
+    repeated = F.when(ended, F.array_repeat(names.valid_to, F.size("_list")))
+    return ends.groupBy(names.key).agg(
+        F.max_by(F.when(~ended, F.col("_list")), F.when(~ended, F.lit(0))).alias("_new"),
+        F.max_by(F.when(ended, F.col("_list")), names.valid_to).alias("_old"),
+        F.sort_array(F.flatten(F.collect_list(repeated))).alias("_dates"),
+        F.max(names.valid_to).alias("last_updated"),
+        F.min("_first").alias("first_seen"),
+    )
+
+
 def _order(names: VersionColumns) -> Column:
     return F.struct(names.valid_to, names.valid_from, names.checksum)
 
@@ -106,9 +124,9 @@ def consolidate(versions: DataFrame, columns: Sequence[str] | None = None, *,
                 names: VersionColumns = VERSION_COLUMNS) -> DataFrame:
     """H8: one row per key with its update history and whether it was deleted.
 
-    With ties="one" this is one scan and one shuffle: every map task first reduces a key
-    to its best active and best retired version, so hot keys arrive small. "all" and
-    "fail" join the parts, see ``latest_retired``.
+    One scan and one shuffle. With ties="one" every map task first reduces a key to its best
+    active and best retired version, so hot keys arrive small. "all" and "fail" give every
+    active version of a key with every one that shares its latest end, see ``latest_retired``.
 
     carry_forward: a field empty in the active version is filled from the latest retired
     one. ``first_seen`` is the first start of any version; ``on_website_from`` that of the
@@ -116,7 +134,10 @@ def consolidate(versions: DataFrame, columns: Sequence[str] | None = None, *,
     """
     columns = list(columns or names.payload(versions.columns))
     if ties != "one":
-        return _consolidate_joined(versions, columns, ties, carry_forward, names)
+        tied = _tied(versions, columns, names).select("*", F.explode_outer("_new").alias("_n")).select(
+            "*", F.explode_outer("_old").alias("_o")).drop("_new", "_old").withColumnsRenamed({"_n": "_new", "_o": "_old"})
+        every = _assemble(tied, columns, carry_forward, names)
+        return require_unique(every, names.key) if ties == "fail" else every
     rest = [*columns, names.valid_from]
     retired = _retired(names)
     summary = versions.groupBy(names.key).agg(
@@ -169,22 +190,3 @@ def _assemble(summary: DataFrame, columns: Sequence[str], carry_forward: bool,
         gone.alias("deleted"),
         "first_seen",
     )
-
-
-def _consolidate_joined(versions, columns, ties, carry_forward, names):
-    """H8 as joins of H5 and H6; every tied version of a key gives a row."""
-    new = active_slice(versions, columns, names).alias("n")
-    old = latest_retired(versions, columns, ties, names).alias("o")
-    first = versions.groupBy(names.key).agg(F.min(names.valid_from).alias("first_seen"))
-    gone = F.col(f"n.{names.valid_from}").isNull()
-    joined = new.join(old, names.key, "full_outer")
-    filled = [
-        (F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")) if carry_forward
-         else F.when(gone, F.col(f"o.{c}")).otherwise(F.col(f"n.{c}"))).alias(c)
-        for c in columns
-    ]
-    return joined.select(
-        names.key, *filled, "o.previous_update_dates", "o.last_updated",
-        F.coalesce(f"o.{names.valid_from}", f"n.{names.valid_from}").alias(names.valid_from),
-        gone.alias("deleted"),
-    ).join(first, names.key)

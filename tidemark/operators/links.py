@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.html import ANYWHERE, Rule, read_pieces, step
 from tidemark.functions.skew import attach_per_key, running_totals
 from tidemark.functions.urls import canonical_url
+from tidemark.session import stored
 
 # fixed values: class names of the listing layout, and its page size
 CARD = ANYWHERE + step("div", tokens=["card--fundingprogram"])
@@ -59,13 +60,39 @@ def unresolved_links(found: DataFrame) -> DataFrame:
     return found.withColumn("url", canonical_url("page_url", "href")).filter("url IS NULL").drop("url")
 
 
-def stored_pages(firsts: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
+# Matches that one read of the pages looks up; they are narrow and broadcast.
+MATCHES_PER_READ = 250_000
+
+
+def page_matches(firsts: DataFrame, pages: DataFrame, page: str = "page_id", url: str = "url") -> DataFrame:
+    """L3 to S2 on narrow columns: discovered URLs with the id of the stored page behind each."""
+    known = pages.select(F.col(page), canonical_url(url, url).alias("_url"))
+    return firsts.join(known, F.col("url") == F.col("_url")).drop("_url")
+
+
+def stored_pages(firsts: DataFrame, pages: DataFrame, page: str = "page_id", url: str = "url",
+                 per_read: int = MATCHES_PER_READ) -> DataFrame:
     """The stored page of every discovered URL, with where it was first seen.
 
-    Both sides are in normal form; page text is joined by its URL and read once.
+    URLs meet on narrow columns and the matches are stored. The pages, with their text, are
+    then read for ranges of page ids of at most about ``per_read`` matches, each broadcast to
+    the tasks that read: page text is never shuffled, and where page files are laid out by
+    id, a range reads its own part of them only. Both sides are in normal form.
     """
-    known = pages.withColumn("_url", canonical_url(url, url)).drop(url)
-    return firsts.join(known, F.col("url") == F.col("_url")).drop("_url")
+    matches = stored(page_matches(firsts, pages, page, url), "page-matches")
+    columns = [c for c in pages.columns if c not in (page, url)]
+    reads = -(-matches.count() // per_read)
+    inner = [] if reads < 2 else matches.approxQuantile(page, [i / reads for i in range(1, reads)], 0.1 / reads)
+    edges = [None, *sorted(set(inner)), None]
+    found = None
+    for low, high in zip(edges, edges[1:]):
+        within = F.lit(True)
+        within = within if low is None else within & (F.col(page) > low)
+        within = within if high is None else within & (F.col(page) <= high)
+        text = pages.where(within).select(page, *columns)
+        part = text.join(F.broadcast(matches.where(within)), page).select(*matches.columns, *columns)
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def links_without_page(firsts: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:

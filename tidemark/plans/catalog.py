@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.html import ANYWHERE, Rule, step
 from tidemark.functions.markdown import html_to_markdown
 from tidemark.functions.text import content_checksum, license_line, record_key, url_slug
+from tidemark.functions.urls import canonical_url
 from tidemark.operators import (
     analytics, audit, consolidate, extraction, identity, links, merge, publishing, replay,
 )
@@ -321,9 +322,20 @@ def pages_of_links(spark, folder):
     return links.stored_pages(firsts, inputs.part_pages(tables.table(spark, folder, "part")))
 
 
+def text_of_links(spark, folder):
+    """The stored pages behind the addresses of every second page, with their text."""
+    every = pages(spark, folder)
+    firsts = every.where("page_id % 2 = 0").groupBy(canonical_url("url", "url").alias("url")).agg(
+        F.min("page_id").alias("page_no"))
+    found = links.stored_pages(firsts, every, per_read=500)
+    return found.select("url", "page_no", "page_id", F.sha1("html").alias("html_sha1"))
+
+
 def links_without_page(spark, folder):
+    """Every second stored page is taken away, so their links have none."""
     firsts = links.first_seen(resolved(listing(spark, folder))).select("url", "page_no")
-    return links.links_without_page(firsts, inputs.part_pages(tables.table(spark, folder, "part")))
+    return links.links_without_page(
+        firsts, inputs.part_pages(tables.table(spark, folder, "part")).where("page_id % 2 = 0"))
 
 
 # --- streaming --------------------------------------------------------------
@@ -379,6 +391,30 @@ def rejected_records(spark, folder):
     return run.run_report(store, "issues").select("page_id", "reason")
 
 
+def counts_of_runs(spark, folder):
+    """Two runs over the same pages: what each saw and wrote, from their commits."""
+    store = HistoryStore(spark, shared_folder(spark, "counts"), buckets=8)
+    for number in range(2):
+        run.load_run(details(spark, folder), store, number, SCRAPED, mode=merge.COMPLETE)
+    return run.run_counts(store)
+
+
+def newest_publication(spark, folder):
+    """Published after a run over half of the pages and after one over all; readers get the latter."""
+    store, out = HistoryStore(spark, shared_folder(spark, "published-store"), buckets=8), shared_folder(spark, "out")
+    for number, part in enumerate((details(spark, folder).where("page_id % 2 = 0"), details(spark, folder))):
+        run.load_run(part, store, number, SCRAPED + timedelta(days=number), mode=merge.COMPLETE)
+        run.publish_history(store, out)
+    return published.read_published(spark, out).select("id_hash", "title", "description", "deleted", "on_website_from")
+
+
+def unresolved_links(spark, folder):
+    """Navigation targets whose host is broken on every third page."""
+    broken = F.when(F.col("page_no") % 3 == 0, F.concat(F.lit("http://["), "href")).otherwise(F.col("href"))
+    found = links.links(navigation(spark, folder)).withColumn("href", broken)
+    return links.unresolved_links(found).select("page_no", "pos", "href")
+
+
 # --- the catalogue ----------------------------------------------------------
 
 def _recent(deleted: bool) -> Callable[[DataFrame], DataFrame]:
@@ -484,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "h14_reconcile": reconciled,
     "l9_pages_of_links": pages_of_links,
     "l9_links_without_page": links_without_page,
+    "l9_text_of_links": text_of_links,
     "h15_dead_links": dead_links,
     "p1_min_table": _over(current, publishing.min_table),
     "p2_markdown": _over(
@@ -536,6 +573,9 @@ QUERIES: dict[str, Query] = {
     "h11_repaired_store": repaired_store,
     "i3_new_watched_field": new_watched_field,
     "x15_issues_of_a_run": rejected_records,
+    "x15_counts_of_runs": counts_of_runs,
+    "s9_newest_publication": newest_publication,
+    "l2_unresolved_links": unresolved_links,
     "u1_markdown_of_articles": _over(
         lambda s, d: inputs.shaped_articles(tables.table(s, d, "documents")),
         lambda df: df.select("page_id", html_to_markdown("html").alias("markdown"))),

@@ -340,7 +340,13 @@ SELECT f.url, f.page_no, p.page_id FROM (WITH {CARDS} {FIRST}) f JOIN (
   FROM part WHERE p_brand <> 'Brand#3' GROUP BY 1) p USING (url)""",
     "l9_links_without_page": f"""
 SELECT f.url, f.page_no FROM (WITH {CARDS} {FIRST}) f WHERE f.url NOT IN (
-  SELECT 'https://www.example.org/FDB/Content/DE/Foerderprogramm/' || replace(p_name, ' ', '-') || '.html' FROM part WHERE p_brand <> 'Brand#3')""",
+  SELECT url FROM (
+    SELECT 'https://www.example.org/FDB/Content/DE/Foerderprogramm/' || replace(p_name, ' ', '-') || '.html' AS url, min(p_partkey) AS page_id
+    FROM part WHERE p_brand <> 'Brand#3' GROUP BY 1) WHERE page_id % 2 = 0)""",
+    "l9_text_of_links": """
+WITH p AS (SELECT page_id, html, regexp_replace(url, '#.*$', '') AS url FROM pages),
+f AS (SELECT url, min(page_id) AS page_no FROM p WHERE page_id % 2 = 0 GROUP BY url)
+SELECT url, page_no, page_id, sha1(html) AS html_sha1 FROM f JOIN p USING (url)""",
     "l4_duplicate_links": f"WITH {CARDS} {LATER}",
     "l5_listing_quality": f"""
 WITH {NAV} SELECT page_no, CAST(len(hrefs) AS INTEGER) AS cards,
@@ -400,6 +406,18 @@ SELECT page_id, 'no title' AS reason FROM x WHERE title IS NULL
 UNION ALL SELECT page_id, 'no content' FROM x WHERE bare
 UNION ALL SELECT page_id, 'no data' FROM x WHERE bare AND title IS NOT NULL
 UNION ALL SELECT page_id, 'unknown tab' FROM x WHERE tabbed"""),
+    "x15_counts_of_runs": _on_x("""
+SELECT run, count(*) AS pages, count(*) FILTER (WHERE title IS NULL) AS untitled,
+  count(*) FILTER (WHERE bare AND title IS NOT NULL) AS empty,
+  count(*) FILTER (WHERE title IS NOT NULL AND description IS NULL) AS rejected, 0::BIGINT AS repeated,
+  CASE run WHEN 0 THEN count(*) FILTER (WHERE title IS NOT NULL AND description IS NOT NULL) ELSE 0 END AS opened,
+  0::BIGINT AS closed
+FROM x, (SELECT unnest([0::BIGINT, 1]) AS run) GROUP BY run"""),
+    "s9_newest_publication": _on_x("""
+SELECT md5(id_url) AS id_hash, title, description, false AS deleted,
+  CASE WHEN page_id % 2 = 0 THEN TIMESTAMP '2025-06-19 02:00:00' ELSE TIMESTAMP '2025-06-20 02:00:00' END AS on_website_from
+FROM x WHERE title IS NOT NULL AND description IS NOT NULL"""),
+    "l2_unresolved_links": f"WITH {NAV} SELECT page_no, pos, 'http://[' || href AS href FROM link WHERE page_no % 3 = 0",
     "i1_slugs": f"SELECT page_id, {_PAGE_SLUG} AS id_url FROM pages",
     "i2_keys": _on_x("SELECT page_id, url, id_url, md5(id_url) AS id_hash FROM x"),
     "i3_checksums": """

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.html import Rule
@@ -17,7 +17,7 @@ from tidemark.operators.identity import require_unique
 from tidemark.operators.publishing import min_table, with_markdown
 from tidemark.schema import LICENSE_TEXT, PROGRAM_SCHEMA, WATCHED_FIELDS
 from tidemark.sources.history_store import HistoryStore, State
-from tidemark.sources.published import publish_min, write_parquet
+from tidemark.sources.published import Publication, publish_min, write_parquet
 
 
 @dataclass(frozen=True)
@@ -57,6 +57,15 @@ def split(checked: DataFrame, repeated: DataFrame | None = None) -> Snapshot:
     )
 
 
+# What a run counts of its pages, as SQL conditions.
+_COUNTED = {
+    "pages": "true",
+    "untitled": "array_contains(issues, 'no title')",
+    "empty": "array_contains(issues, 'no data')",
+    "rejected": "NOT array_contains(issues, 'no title') AND size(problems) > 0",
+}
+
+
 def load_run(pages: DataFrame, store: HistoryStore, run: int, run_at: datetime, *,
              mode: str, source: str | None = None, batch: int | None = None,
              rules: Sequence[Rule] = extraction.DETAIL_RULES,
@@ -64,18 +73,29 @@ def load_run(pages: DataFrame, store: HistoryStore, run: int, run_at: datetime,
     """One scheduled run into the store: extract, check, merge, commit.
 
     What a run sets aside is kept beside it: ``rejected`` records, page ``issues`` and
-    ``repeated`` keys are tables of the run (``run_report`` reads them).
+    ``repeated`` keys are tables of the run (``run_report`` reads them). Their numbers stand in
+    the commit (``run_counts``): pages are counted by the pass that writes the records.
     """
     state = state or store.state()
     if any(row.run == run for row in state.commits):
         return False
-    checked = store.materialise(read_records(pages, run_at, rules=rules, markers=markers), "extracted", run)
+    counted = Observation("run")
+    checked = store.materialise(read_records(pages, run_at, rules=rules, markers=markers).observe(
+        counted, *[F.count_if(F.expr(what)).alias(name) for name, what in _COUNTED.items()]), "extracted", run)
     repeated = store.materialise(split(checked).repeated, "repeated", run)
     found = split(checked, repeated)
     store.materialise(found.rejected, "rejected", run)
     store.materialise(found.issues, "issues", run)
     return store.merge(found.records, run, run_at, mode=mode, watched=WATCHED_FIELDS,
-                       staged=True, source=source, batch=batch, state=state)
+                       staged=True, source=source, batch=batch, state=state,
+                       counts={**counted.get, "repeated": repeated.count()})
+
+
+def run_counts(store: HistoryStore) -> DataFrame:
+    """What every load run saw, from the commits alone: no report is read."""
+    return store.commits().where("counts IS NOT NULL").select(
+        "run", *[F.coalesce(F.col("counts")[name], F.lit(0)).alias(name) for name in (*_COUNTED, "repeated")],
+        "opened", "closed")
 
 
 REPORTS = ("rejected", "issues", "repeated")
@@ -90,17 +110,18 @@ def run_report(store: HistoryStore, name: str) -> DataFrame:
 
 
 def publish_history(store: HistoryStore, folder: str) -> DataFrame:
-    """Consolidates the store, checks the key, writes every published file.
+    """Consolidates the store, checks the key, writes every published file, then shows them.
 
-    The table is written to a folder of its own and checked there. Only a table that passes
-    replaces the published one, so a repeated key leaves the last publication as it was.
+    Every publication has a folder of its own, and the row that names it is written last: a
+    repeated key or a failure on the way leaves readers with the last publication, whose files
+    are all of one run. Returns the full table as published.
     """
     columns = PROGRAM_SCHEMA.fieldNames()[1:]
-    candidate = f"{folder}/candidates/run={max(store.runs(), default=-1)}"
-    write_parquet(consolidate_parts(store.active(), store.retired(), columns), candidate)
-    full = store.spark.read.parquet(candidate)
+    state = store.state()
+    publication = Publication.begin(store.spark, folder, state.last)
+    write_parquet(consolidate_parts(store.active(), store.retired(), columns), publication.path("data.parquet"))
+    full = store.spark.read.parquet(publication.path("data.parquet"))
     require_unique(full).agg(F.count("*")).collect()
-    write_parquet(full, f"{folder}/data.parquet")
-    full = store.spark.read.parquet(f"{folder}/data.parquet")
-    publish_min(with_markdown(min_table(full)), folder, LICENSE_TEXT)
+    publish_min(with_markdown(min_table(full)), publication.root, LICENSE_TEXT)
+    publication.show(full.count())
     return full

@@ -42,7 +42,7 @@ COMPACT_RUNS, COMPACT_SHARE, COMPACT_RUNS_AT_MOST = 10, 0.5, 50
 REPAIR, REWATCH, REPLAY = "repair", "rewatch", "replay"
 
 _COMMIT = ("run long, run_at timestamp_ntz, mode string, watched string, source string, "
-           "batch long, opened long, closed long")
+           "batch long, opened long, closed long, counts map<string,long>")
 _BASE = "run long, folder string, bucket int, active long, retired long"
 
 
@@ -96,7 +96,8 @@ class HistoryStore:
                 for folder in folder_names(self.spark, f"{self.root}/{name}") if folder.startswith("run=")}
 
     def commits(self) -> DataFrame:
-        """One row per finished run: number, time, mode, watched fields, source, row counts."""
+        """One row per finished run: number, time, mode, watched fields, source, rows written, and
+        what the run counted on its way."""
         folded, single = self._numbered("folded"), self._numbered("commits")
         newest = max(folded.values(), default=None)
         later = [f for f, run in single.items() if newest is None or run > newest]
@@ -239,13 +240,15 @@ class HistoryStore:
     def merge(self, snapshot: DataFrame, run: int, run_at: datetime, *, mode: str,
               merge_key: Sequence[str] | None = None, watched: Sequence[str] = (),
               staged: bool = False, source: str | None = None, batch: int | None = None,
-              new_watched: bool = False, state: State | None = None) -> bool:
+              new_watched: bool = False, state: State | None = None,
+              counts: dict[str, int] | None = None) -> bool:
         """One run: merges ``snapshot`` and commits. False if the run is committed already.
 
         ``staged`` says that the snapshot is a cheap read of stored rows already. A partial run
         by key reads only the buckets of its keys. Watching other fields than the last run
         would reopen every version, so it fails unless ``new_watched`` says that this is meant;
-        ``rewatch`` changes the fields without reopening anything.
+        ``rewatch`` changes the fields without reopening anything. ``counts`` are kept with the
+        commit as they are.
         """
         state = state or self.state()
         if not self._begin(run, state):
@@ -273,7 +276,7 @@ class HistoryStore:
         closed = self._bucketed(
             active.select(names.key, names.load).join(closing, names.key, "left_semi")
             .withColumn(names.valid_to, at).select(*self._closing_schema().fieldNames()), f"closed/run={run}")
-        self._commit(run, run_at, mode, fields, source, batch, opened.count(), closed.count())
+        self._commit(run, run_at, mode, fields, source, batch, opened.count(), closed.count(), counts)
         return True
 
     def _commit(self, run: int, *values) -> None:
@@ -312,7 +315,7 @@ class HistoryStore:
         }).select(*self.schema.fieldNames()), f"opened/run={last}")
         closed = self._bucketed(found.where(F.col(names.valid_to).isNotNull()).select(
             *self._closing_schema().fieldNames()), f"closed/run={last}")
-        self._commit(last, last_at, REPLAY, fields, None, None, opened.count(), closed.count())
+        self._commit(last, last_at, REPLAY, fields, None, None, opened.count(), closed.count(), None)
         return True
 
     def _rebase(self, run: int, folder: str, versions: DataFrame, buckets: set[int]) -> None:
@@ -365,7 +368,7 @@ class HistoryStore:
         if buckets:
             held = self.materialise(self._versions(state, buckets), "held", run)
             self._rebase(run, f"run={run}-part", drop_duplicate_versions(held, names), buckets)
-            self._commit(run, run_at, REPAIR, state.watched, None, None, 0, 0)
+            self._commit(run, run_at, REPAIR, state.watched, None, None, 0, 0, None)
         return buckets
 
     def rewatch(self, run: int, run_at: datetime, watched: Sequence[str],
@@ -381,7 +384,7 @@ class HistoryStore:
             return False
         active = self._active(state).withColumn(self.names.checksum, checksum(sorted(watched)))
         self._rebase(run, f"run={run}", active.unionByName(self._retired(state)), set(range(self.buckets)))
-        self._commit(run, run_at, REWATCH, ",".join(sorted(watched)), None, None, 0, 0)
+        self._commit(run, run_at, REWATCH, ",".join(sorted(watched)), None, None, 0, 0, None)
         return True
 
     def superseded(self) -> list[str]:

@@ -82,6 +82,10 @@ class Discovery:
     def resolved(self) -> DataFrame:
         return self._links(self.log())
 
+    def unresolved(self) -> DataFrame:
+        """L2: the logged links that give no absolute URL."""
+        return links.unresolved_links(self.log().select("page_no", "page_url", F.inline("targets")))
+
     def first_seen(self) -> DataFrame:
         """L3 so far, from the state's rows alone: no page and no link is read again."""
         if not folder_names(self.spark, f"{self.root}/firsts"):
