@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -101,6 +102,25 @@ def test_n_best_is_exact(text):
     assert [score, *[o["score"] for o in others]] == pytest.approx(every)
 
 
+@pytest.mark.parametrize("text", ["=" * 10_000, "a" * 10_000, "ab" * 5_000, "x" + "=-" * 3_000 + " " + "a" * 2_000])
+def test_n_best_of_long_runs_equals_a_dynamic_program(text):
+    """All orders of the same pieces score alike there; the search must not walk through them."""
+    v = sentence_pieces.vocabulary(sentence_pieces.MODEL)
+    lattice = "▁" + text.replace(" ", "▁")
+    best = [[0.0]] + [[] for _ in lattice]
+    for at in range(len(lattice)):
+        best[at] = sorted(best[at], reverse=True)[:4]
+        for end, _, gain in v.edges(lattice, at):
+            best[end] += [s + gain for s in best[at]]
+    started = time.process_time()
+    ids, score, others = sentence_pieces.Encoder(sentence_pieces.MODEL).encode(text.encode(), 4)
+    assert time.process_time() - started < 30
+    assert [score, *[o["score"] for o in others]] == pytest.approx(sorted(best[-1], reverse=True)[:4], rel=1e-12)
+    spelled = [sentence_pieces.alternative(ids.tolist(), o["changes"]) for o in others]
+    assert len({tuple(s) for s in [ids.tolist(), *spelled]}) == 4
+    assert all(sentence_pieces.decode_ids(s).decode() == text for s in [ids.tolist(), *spelled])
+
+
 # --- op3 ---------------------------------------------------------------------------------
 
 def test_length_table_answers_every_limit(spark, texts):

@@ -15,7 +15,6 @@ import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -163,23 +162,36 @@ def forward_scores(v: Vocabulary, segment: str) -> tuple[list[float], list[list]
     return forward, incoming
 
 
-def segment_best(v: Vocabulary, segment: str) -> Iterator[tuple[float, tuple[int, ...]]]:
-    """All segmentations in order of score: backward A-star, exact forward scores as heuristics."""
+def segment_best(v: Vocabulary, segment: str, n: int = BEST) -> Iterator[tuple[float, tuple[int, ...]]]:
+    """The ``n`` best segmentations in order of score: backward A-star, exact forward scores as heuristics.
+
+    A position is left at most ``n`` times: whatever comes later there has ``n`` rests of no
+    smaller score before it. Equal scores go on at the position nearest the start, so ties are
+    finished one by one and runs of one sign take time in proportion to their length.
+    """
     best, score, _ = viterbi(v, segment)
     forward, incoming = forward_scores(v, segment)
-    yield score, best  # the search finds it first as well; ties come in order of discovery
-    queue, count, skipped = [(-score, 0, len(segment), 0.0, ())], 0, False
-    while queue:
-        total, _, at, behind, ids = heapq.heappop(queue)
+    yield score, best  # the search finds it as well, among its equals in some order
+    left, given, count = [n] * (len(segment) + 1), 1, 0
+    queue: list[tuple] = [(-score, len(segment), 0, 0.0, None)]
+    while queue and given < n:
+        total, at, _, behind, rest = heapq.heappop(queue)
         if at == 0:
-            if not skipped and ids == best:
-                skipped = True
-                continue
-            yield -total, ids
+            ids: list[int] = []
+            while rest:
+                piece, rest = rest
+                ids += piece
+            if tuple(ids) != best:
+                given += 1
+                yield -total, tuple(ids)
+            continue
+        if not left[at]:
             continue
+        left[at] -= 1
         for start, piece, gain in incoming[at]:
-            count += 1
-            heapq.heappush(queue, (-(forward[start] + gain + behind), count, start, gain + behind, piece + ids))
+            if left[start]:
+                count += 1
+                heapq.heappush(queue, (-(forward[start] + gain + behind), start, count, gain + behind, (piece, rest)))
 
 
 def _others(v: Vocabulary, segments: list[str], loss: np.ndarray, starts: np.ndarray, total: float, n: int,
@@ -195,7 +207,7 @@ def _others(v: Vocabulary, segments: list[str], loss: np.ndarray, starts: np.nda
         if known is None:
             if len(memo) >= MEMO // 4:
                 memo.clear()
-            known = memo[segments[i], n] = list(islice(segment_best(v, segments[i]), n))
+            known = memo[segments[i], n] = list(segment_best(v, segments[i], n))
         lists.append(known)
     queue, seen, out = [(0.0, (0,) * k)], {(0,) * k}, []
     while queue and len(out) < n:
