@@ -28,7 +28,7 @@ from tidemark.session import stored
 
 K = 10
 # Pieces that are visited first for every item, postings of a piece, bytes of item text in a block.
-FIRST, POSTINGS, ITEM_BYTES = 3, 1 << 14, 4 << 20
+FIRST, POSTINGS, ITEM_BYTES = 3, 1 << 13, 4 << 20
 # Terms are runs of ASCII letters and digits and of bytes beyond ASCII.
 _KEPT = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEPT else 0x20 for c in range(256))
@@ -67,7 +67,7 @@ def term_counts(docs: DataFrame, vocabulary: dict[bytes, int], id_col: str, text
     return stored(rows.mapInArrow(run, "doc_id long, n long, terms array<int>, tfs array<int>"), "term-counts")
 
 
-def build_index(counts: DataFrame, n_docs: int, n_terms: int, postings: int = POSTINGS) -> DataFrame:
+def build_index(counts: DataFrame, n_docs: int, n_terms: int, n_postings: int, postings: int = POSTINGS) -> DataFrame:
     """One row per stratum piece: documents by id, terms with their greatest tf, postings by term and falling tf.
 
     A stratum with more postings than ``postings`` is dealt to several pieces by document, so no
@@ -94,7 +94,9 @@ def build_index(counts: DataFrame, n_docs: int, n_terms: int, postings: int = PO
         return pa.table({"m": pa.array([key[0].as_py()], pa.int64()), "piece": pa.array([key[1].as_py()], pa.int32()),
                          **{name: pa.array([x.tobytes()], pa.binary()) for name, x in packed.items()}})
 
-    return stored(dealt.groupBy("m", "piece").applyInArrow(pack, _INDEX), "index")
+    # By number: pieces are small, yet each is much work to search, so they must not end in few files.
+    tasks = max(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_postings // (64 * postings))
+    return stored(dealt.repartition(tasks, "m", "piece").groupBy("m", "piece").applyInArrow(pack, _INDEX), "index")
 
 
 class Items:
@@ -245,7 +247,7 @@ def rank(docs: DataFrame, items: DataFrame, k: int = K, id_col: str = "doc_id",
             break
         df = per_doc.select(F.explode("terms").alias("term")).groupBy("term").count().collect()  # asked terms at most
         weight = {r.term: math.floor(1000 * math.log((2 * total.docs + 2) / (2 * r["count"] + 1))) for r in df}
-        index = build_index(per_doc, total.docs, total.terms, postings)
+        index = build_index(per_doc, total.docs, total.terms, sum(r["count"] for r in df), postings)
         found.append(search(index, Items([r.item_no for r in rows], counts, vocabulary, weight), k))
     return union_all(found).join(listed.select("item_no", "item_id"), "item_no").select(
         "item_id", "rank", "doc_id", "score")
