@@ -65,4 +65,13 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_folder(frame.sparkSession, purpose)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    table = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables written by ``stored`` once nothing that is still to run reads them."""
+    for table in tables:
+        where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
