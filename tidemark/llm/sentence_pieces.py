@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -53,17 +54,20 @@ class Vocabulary:
         self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.unknown = min(raw.values()) - UNKNOWN_PENALTY
         pieces = {model.id_to_piece(i): i for i in plain}
-        # A tree of characters; where a piece ends, "" holds its id and log probability.
+        # A tree of characters: for each the characters that follow it, and id and log probability
+        # of the piece that ends there, or -1.
         self.tree: dict = {}
         self.joined: set[tuple[str, str]] = set()
         for piece, i in pieces.items():
             if MARK in piece.lstrip(MARK):
                 raise ValueError(f"piece {piece!r} crosses a word boundary")
-            node = self.tree
+            following = self.tree
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = (i, raw[i])
+                node = following.setdefault(c, [{}, -1, 0.0])
+                following = node[0]
+            node[1:] = i, raw[i]
             self.joined.update(zip(piece, piece[1:]))
+        self.longest = max(map(len, pieces))
         inside = set("".join(p for p in pieces if len(p) > 1))
         alone = "".join(c for c in "\n\t\r\v\f" + LITERAL_MARK if c not in inside)
         self.segments = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+|[{alone}]")
@@ -72,14 +76,14 @@ class Vocabulary:
 
     def edges(self, segment: str, start: int) -> list[tuple[int, tuple[int, ...], float]]:
         """(end, ids, score) of the pieces that begin at ``start``; bytes where there is none."""
-        found, node = [], self.tree
+        found, following = [], self.tree
         for end in range(start, len(segment)):
-            node = node.get(segment[end])
+            node = following.get(segment[end])
             if node is None:
                 break
-            held = node.get("")
-            if held is not None:
-                found.append((end + 1, (held[0],), held[1]))
+            following, piece, gain = node
+            if piece >= 0:
+                found.append((end + 1, (piece,), gain))
         if not found or found[0][0] != start + 1:
             found.append((start + 1, self.bytes_of(segment[start]), self.unknown))
         return found
@@ -102,23 +106,22 @@ def vocabulary(path: str) -> Vocabulary:
 
 def viterbi(v: Vocabulary, segment: str) -> tuple[tuple[int, ...], float, float]:
     """Best ids, their score, and the loss of the second best."""
-    n, tree = len(segment), v.tree
+    n, tree, longest = len(segment), v.tree, v.longest
     first, second = [-math.inf] * (n + 1), [-math.inf] * (n + 1)
     first[0] = 0.0
     came: list[int] = [0] * (n + 1)
     by: list[int] = [0] * (n + 1)
     for start in range(n):
         one, two = first[start], second[start]
-        node, single = tree, False
-        for at in range(start, n):
-            node = node.get(segment[at])
+        following, single, end = tree, False, start
+        for c in segment[start:start + longest]:
+            node = following.get(c)
             if node is None:
                 break
-            held = node.get("")
-            if held is not None:
-                piece, gain = held
-                end = at + 1
-                if at == start:
+            following, piece, gain = node
+            end += 1
+            if piece >= 0:
+                if end == start + 1:
                     single = True
                 total, other = one + gain, two + gain
                 best = first[end]
@@ -238,7 +241,7 @@ class Encoder:
         known = self.young.get(part) or self.old.get(part)
         if known is None:
             ids, score, loss = viterbi(self.v, part)
-            known = (np.array(ids, dtype=np.int32).tobytes(), score, loss)
+            known = (array("i", ids).tobytes(), score, loss)
         self._keep(part, known)
         return known
 
