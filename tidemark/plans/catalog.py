@@ -13,10 +13,11 @@ from tidemark.functions.markdown import html_to_markdown
 from tidemark.functions.text import content_checksum, license_line, record_key, url_slug
 from tidemark.functions.urls import canonical_url
 from tidemark.operators import (
-    analytics, audit, consolidate, extraction, identity, links, merge, publishing, replay,
+    analytics, audit, consolidate, extraction, identity, links, merge, publishing, replay, rule_table,
 )
 from tidemark.plans import inputs, run
 from tidemark.session import shared_folder, stored
+from tidemark.sources import page_files as raw_pages
 from tidemark.sources import published, tables
 from tidemark.sources.history_store import HistoryStore
 from tidemark.streaming import ingest
@@ -232,6 +233,22 @@ def history_by_sql(spark, folder):
         v=versions(spark, folder))
 
 
+def page_files(spark, folder):
+    """Pages as files: UTF-8, the Windows code page by its meta element, and broken UTF-8; read back."""
+    path, html = shared_folder(spark, "page-files"), F.col("html")
+    ascii_only = F.regexp_replace(html, "[^\\x00-\\x7F]", "")
+    stated = F.encode(F.concat(F.lit('<meta charset="ISO-8859-1">ü'), ascii_only), "ISO-8859-1")
+    broken = F.concat(F.encode(html, "UTF-8"), F.unhex(F.lit("FF")))
+    kind = F.col("page_id") % 3
+    content = F.when(kind == 0, F.encode(html, "UTF-8")).when(kind == 1, stated).otherwise(broken)
+    pages(spark, folder).select("page_id", content.cast("string").alias("value")).write.partitionBy("page_id").text(path)
+    found = stored(raw_pages.decoded_files(raw_pages.page_files(spark, path, "*.txt"), ["page_id"]), "decoded")
+    good = raw_pages.pages_of(found).select(
+        F.col("page_id").cast("long").alias("page_id"), "charset", F.sha1(F.rtrim("html", F.lit("\n"))).alias("found"))
+    return good.union(raw_pages.rejected_files(found).select(
+        F.col("page_id").cast("long"), "charset", F.regexp_replace("problem", ", byte .*", "")))
+
+
 # --- history ----------------------------------------------------------------
 
 def _last_day(spark, folder):
@@ -424,6 +441,28 @@ def _recent(deleted: bool) -> Callable[[DataFrame], DataFrame]:
 
 # Another layout is another rule list; here the advertisement takes the title's place.
 AD_RULES = (Rule("title", "div", ANYWHERE + step("div", cls="ad"), "all_text"),)
+
+
+def two_layouts(spark, folder):
+    """Articles and labelled detail pages in one table, told apart and read by a rule table."""
+    every = pages(spark, folder).unionByName(details(spark, folder).withColumn("page_id", -1 - F.col("page_id")))
+    rules = [
+        rule_table.rule("detail", 1, "main", ANYWHERE + step("main"), "mark", marks=True),
+        rule_table.rule("detail", 1, "heading", ANYWHERE + step("h1", cls="title"), "all_text", "title", "join"),
+        rule_table.rule("detail", 1, "label", ANYWHERE + step("dt"), "text"),
+        rule_table.rule("detail", 1, "entry", ANYWHERE + step("dd"), "mark"),
+        rule_table.rule("detail", 1, "entry_text", ANYWHERE + step("dd"), "text", scope="entry"),
+        rule_table.rule("detail", 1, "city", ANYWHERE + step("dd") + ANYWHERE + step("p", cls="locality"), "text", scope="entry"),
+        rule_table.rule("article", 2, "article", step("html") + step("body") + step("article"), "mark", marks=True),
+        rule_table.rule("article", 2, "headline", ANYWHERE + step("article") + step("h1"), "all_text", "title", "join"),
+    ]
+    labels = [("detail", "Förderart", "funding_type", "first", "entry_text"),
+              ("detail", "Förderbereich", "funding_area", "first", "entry_text"),
+              ("detail", "Ansprechpunkt", "city", "first", "city")]
+    return rule_table.extract_by_table(
+        every, spark.createDataFrame(rules, rule_table.RULES), spark.createDataFrame(labels, rule_table.LABELS))
+
+
 CONTACT_ADDRESS = ("page_id", "contact_info_street", "contact_info_city")
 
 QUERIES: dict[str, Query] = {
@@ -579,6 +618,8 @@ QUERIES: dict[str, Query] = {
     "u1_markdown_of_articles": _over(
         lambda s, d: inputs.shaped_articles(tables.table(s, d, "documents")),
         lambda df: df.select("page_id", html_to_markdown("html").alias("markdown"))),
+    "u2_two_layouts": two_layouts,
+    "s2_page_files": page_files,
     "u2_rules_for_ads": _over(
         lambda s, d: extraction.extract(pages(s, d), AD_RULES), lambda df: df, "page_id", "title"),
 }

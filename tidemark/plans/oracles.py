@@ -573,6 +573,16 @@ SELECT doc_id AS page_id, CASE doc_id % 8
   WHEN 6 THEN '[' || source || '](https://x.example/' || n_chars || ') **' || lang || '** ~~old~~'
   ELSE '> ' || lang || '  ' || chr(10) || '> ' || source END AS markdown
 FROM documents""",
+    "s2_page_files": r"""
+SELECT page_id, CASE page_id % 3 WHEN 1 THEN 'cp1252' ELSE 'utf-8' END AS charset, CASE page_id % 3
+  WHEN 0 THEN sha1(rtrim(html, chr(10)))
+  WHEN 1 THEN sha1(rtrim('<meta charset="ISO-8859-1">ü' || regexp_replace(html, '[^\x00-\x7F]', '', 'g'), chr(10)))
+  ELSE 'not text in its character set' END AS found
+FROM pages""",
+    "u2_two_layouts": f"""
+SELECT -1 - page_id AS page_id, 'detail' AS layout, title, funding_type, funding_area,
+  CASE WHEN NOT bare THEN '10115 Ort-' || lang END AS city FROM (WITH {D} SELECT * FROM x)
+UNION ALL SELECT page_id, 'article', nullif({_TITLE}, ''), NULL, NULL, NULL FROM pages WHERE html LIKE '%<article>%'""",
     "u2_rules_for_ads": r"""
 SELECT page_id, nullif(regexp_extract(html, '<div class="ad">([^<]*)</div>', 1), '') AS title FROM pages""",
 }
