@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -75,3 +76,13 @@ def discard(*tables: DataFrame) -> None:
     for table in tables:
         where = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._stored_at)
         where.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of plans that have run and that nobody holds any more.
+
+    Spark does so whenever the driver collects its garbage, which on a driver with little to do
+    may be long after. Called between large steps that write their results.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
