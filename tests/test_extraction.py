@@ -215,3 +215,14 @@ def test_unclosed_tags_are_text(spark):
     frame = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
     assert [p.value for p in html.read_pieces(frame, extraction.DETAIL_RULES, ["page_id"]).first().title] == [
         "A <b ", "B", ' < <a href="x', "D"]
+
+
+def test_the_rules_of_a_field_give_what_all_rules_give(spark):
+    frame = page_frame(spark, P.TABBED, P.FALLBACK)
+    every = {r.page_id: r for r in extraction.extract(frame).collect()}
+    for field in ("title", "description", "more_info", "legal_basis", "funding_type", "funding_body", "further_links",
+                  "contact_info_institution", "contact_info_city", "contact_info_phone", "contact_info_email"):
+        few = extraction.rules_for([field])
+        assert len(few) < len(extraction.DETAIL_RULES)
+        for r in extraction.extract(frame, few).collect():
+            assert r[field] == every[r.page_id][field], field

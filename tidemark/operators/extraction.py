@@ -67,6 +67,26 @@ DETAIL_RULES = (
     _in_dd("website", "a", step("p", cls="website"), step("a"), take="@href"),
 )
 
+_ENTRIES = {"dt", "dt_text", "dd", "dd_text"}
+_ARTICLES = _ENTRIES | {"tab", "article", "jumbotron", "block"}
+_NEEDED = {
+    "title": {"title"}, "funding_body": _ENTRIES | {"body"}, "further_links": _ENTRIES | {"link"},
+    **dict.fromkeys(MARKDOWN_FIELDS, _ARTICLES),
+}
+
+
+def rules_for(fields: Sequence[str], rules: Sequence[Rule] = DETAIL_RULES) -> list[Rule]:
+    """The rules that some fields are made of, so that no other text leaves the reader.
+
+    The other fields, and the issues of a page, mean nothing under them.
+    """
+    wanted: set[str] = set()
+    for field in fields:
+        part = field.removeprefix("contact_info_")
+        wanted |= _NEEDED.get(field, _ENTRIES if part == field else _ENTRIES | {part})
+    return [r for r in rules if r.name in wanted]
+
+
 # Plain article pages: a heading and one article, no tabs and no labelled list.
 ARTICLE_RULES = (
     Rule("title", "h1", ANYWHERE + step("article") + step("h1"), "all_text"),

@@ -71,6 +71,11 @@ def detail_records(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract(details(spark, folder))
 
 
+def _fields(*names: str) -> Query:
+    """Some fields of the detail pages, from a pass that takes only what they are made of."""
+    return _over(lambda s, d: extraction.extract(details(s, d), extraction.rules_for(names)), lambda df: df, "page_id", *names)
+
+
 def navigation(spark: SparkSession, folder: str) -> DataFrame:
     return links.listing_pieces(pages(spark, folder), links.NAVIGATION_RULES)
 
@@ -463,7 +468,6 @@ def two_layouts(spark, folder):
         every, spark.createDataFrame(rules, rule_table.RULES), spark.createDataFrame(labels, rule_table.LABELS))
 
 
-CONTACT_ADDRESS = ("page_id", "contact_info_street", "contact_info_city")
 
 QUERIES: dict[str, Query] = {
     "s1_seed_urls": seed_urls,
@@ -506,19 +510,15 @@ QUERIES: dict[str, Query] = {
         extraction.detail_pieces(details(s, d))), lambda df: df.select("page_id", *[
             F.transform(c, lambda name: F.coalesce(name, F.lit("?"))).alias(c)
             for c in ("tab_fields", "entry_fields")])),
-    "x6_repeated_labels": _over(detail_records, lambda df: df, "page_id", "funding_type"),
-    "x7_list_fields": _over(detail_records, lambda df: df, "page_id", "funding_type",
-                            "funding_area", "funding_location", "eligible_applicants"),
-    "x8_funding_body": _over(detail_records, lambda df: df, "page_id", "funding_body"),
-    "x9_further_links": _over(detail_records, lambda df: df, "page_id", "further_links"),
-    "x10_institution": _over(detail_records, lambda df: df,
-                             "page_id", "contact_info_institution"),
-    "x11_address": _over(detail_records, lambda df: df, *CONTACT_ADDRESS),
-    "x12_fax_phone": _over(detail_records, lambda df: df,
-                           "page_id", "contact_info_fax", "contact_info_phone"),
-    "x13_email_website": _over(detail_records, lambda df: df,
-                               "page_id", "contact_info_email", "contact_info_website"),
-    "x14_other_labels": _over(detail_records, lambda df: df, "page_id", "legal_basis"),
+    "x6_repeated_labels": _fields("funding_type"),
+    "x7_list_fields": _fields("funding_type", "funding_area", "funding_location", "eligible_applicants"),
+    "x8_funding_body": _fields("funding_body"),
+    "x9_further_links": _fields("further_links"),
+    "x10_institution": _fields("contact_info_institution"),
+    "x11_address": _fields("contact_info_street", "contact_info_city"),
+    "x12_fax_phone": _fields("contact_info_fax", "contact_info_phone"),
+    "x13_email_website": _fields("contact_info_email", "contact_info_website"),
+    "x14_other_labels": _fields("legal_basis"),
     "x15_page_issues": _over(detail_records, extraction.page_issues, "page_id", "reason"),
     "i1_slugs": _over(page_slugs, lambda df: df),
     "i2_keys": _over(identities, lambda df: df),
@@ -552,7 +552,7 @@ QUERIES: dict[str, Query] = {
         versions, lambda df: consolidate.consolidate(df, carry_forward=False)),
     "h9_changed_and_active": _over(versions, consolidate.changed_and_active_keys),
     "h10_duplicate_versions": _over(versions, audit.duplicate_versions),
-    "h11_drop_duplicates": _over(versions, audit.drop_duplicate_versions),
+    "h11_drop_duplicates": _over(lambda s, d: stored(versions(s, d), "versions"), audit.drop_duplicate_versions),
     "h12_history_lengths": _over(versions, consolidate.history_lengths),
     "h12_changed_once": _over(versions, consolidate.changed_once),
     "h13_invariants": _over(current, audit.invariants),
