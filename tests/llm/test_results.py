@@ -383,3 +383,44 @@ def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (200, 199), (199, 200)]
     got = {r.node: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)} | {199: 199, 200: 199}
+
+
+def test_pruned_chains_are_those_of_a_plain_search():
+    """Dense stretches, prospects and skipped starts leave out nothing that all starts and steps would find."""
+    rng, width, found = random.Random(3), 8, 0
+
+    def plain(runs):
+        for n, (first, end, shift) in enumerate(runs):
+            held = {n: end - first}
+            for k in range(n, len(runs)):
+                i, j, d = runs[k]
+                if k > n:
+                    best = 0
+                    for m, v in held.items():
+                        mi, mj, md = runs[m]
+                        over = max(0, mj - i, (mj - md) - (i - d))
+                        if mi < i and mi - md < i - d and over < j - i:
+                            best = max(best, v + j - i - over)
+                    if not best:
+                        continue
+                    held[k] = best
+                nx, ny = j - first, (j - d) - (first - shift)
+                if held[k] * 1.8 >= 0.8 * (max(nx, width) + max(ny, width)) - 1e-9:
+                    return True
+        return False
+
+    for t in range(600):
+        base = [rng.randrange(9) for _ in range(rng.randrange(5, 40))]
+        other = list(base)
+        for _ in range(rng.randrange(6)):
+            at = rng.randrange(len(other))
+            other[at:at + 1] = rng.choice([[99 + t], [50, other[at]], []]) if len(other) > 3 else [other[at]]
+        x = np.array([rng.randrange(100, 110) for _ in range(rng.randrange(6))] + base)
+        y = np.array(other + [rng.randrange(200, 210) for _ in range(rng.randrange(6))])
+        every = np.ones(len(x), dtype=bool), np.ones(len(y), dtype=bool)
+        dense = tuple(substring_dedup._dense(np.isin(a, b), width, 0.8) for a, b in ((x, y), (y, x)))
+        shifts = set(range(-12, 13))
+        wanted = plain(substring_dedup._runs_on(x, y, shifts, every))
+        assert bool(substring_dedup._chains(substring_dedup._runs_on(x, y, shifts, dense), width, 0.8)) == wanted
+        found += wanted
+    assert 100 < found < 600
