@@ -354,10 +354,9 @@ def text_of_links(spark, folder):
 
 
 def links_without_page(spark, folder):
-    """Every second stored page is taken away, so their links have none."""
+    """Links of cards that none of the stored pages answers."""
     firsts = links.first_seen(resolved(listing(spark, folder))).select("url", "page_no")
-    return links.links_without_page(
-        firsts, inputs.part_pages(tables.table(spark, folder, "part")).where("page_id % 2 = 0"))
+    return links.links_without_page(firsts, inputs.part_pages(tables.table(spark, folder, "part")))
 
 
 # --- streaming --------------------------------------------------------------
