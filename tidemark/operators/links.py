@@ -62,6 +62,9 @@ def unresolved_links(found: DataFrame) -> DataFrame:
 
 # Matches that one read of the pages looks up; they are narrow and broadcast.
 MATCHES_PER_READ = 250_000
+# Every read is a scan and a broadcast table, which takes a megabyte on the driver however few
+# rows it has; so their number ends here, unless reads then hold more than MATCHES_PER_READ.
+READS = 16
 
 
 def page_matches(firsts: DataFrame, pages: DataFrame, page: str = "page_id", url: str = "url") -> DataFrame:
@@ -77,11 +80,13 @@ def stored_pages(firsts: DataFrame, pages: DataFrame, page: str = "page_id", url
     URLs meet on narrow columns and the matches are stored. The pages, with their text, are
     then read for ranges of page ids of at most about ``per_read`` matches, each broadcast to
     the tasks that read: page text is never shuffled, and where page files are laid out by
-    id, a range reads its own part of them only. Both sides are in normal form.
+    id, a range reads its own part of them only. Where that would be more than ``READS``
+    reads, they take more matches each. Both sides are in normal form.
     """
     matches = stored(page_matches(firsts, pages, page, url), "page-matches")
     columns = [c for c in pages.columns if c not in (page, url)]
-    reads = -(-matches.count() // per_read)
+    count = matches.count()
+    reads = min(-(-count // per_read), max(READS, -(-count // MATCHES_PER_READ)))
     inner = [] if reads < 2 else matches.approxQuantile(page, [i / reads for i in range(1, reads)], 0.1 / reads)
     edges = [None, *sorted(set(inner)), None]
     found = None
