@@ -246,7 +246,9 @@ def page_files(spark, folder):
     broken = F.concat(F.encode(html, "UTF-8"), F.unhex(F.lit("FF")))
     kind = F.col("page_id") % 3
     content = F.when(kind == 0, F.encode(html, "UTF-8")).when(kind == 1, stated).otherwise(broken)
-    pages(spark, folder).select("page_id", content.cast("string").alias("value")).write.partitionBy("page_id").text(path)
+    # Every page is a file, so the tasks that write share the pages, however few files the table has.
+    made = pages(spark, folder).select("page_id", content.cast("string").alias("value")).repartition("page_id")
+    made.write.partitionBy("page_id").text(path)
     found = stored(raw_pages.decoded_files(raw_pages.page_files(spark, path, "*.txt"), ["page_id"]), "decoded")
     good = raw_pages.pages_of(found).select(
         F.col("page_id").cast("long").alias("page_id"), "charset", F.sha1(F.rtrim("html", F.lit("\n"))).alias("found"))
