@@ -13,9 +13,9 @@ from __future__ import annotations
 import heapq
 import math
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,9 @@ MARK = "▁"
 # A word mark that is part of the text itself, spelled with byte pieces to survive the trip.
 LITERAL_MARK = "\ud800"
 UNKNOWN_PENALTY = 10.0
-MEMO = 250_000
+MEMO = 500_000
+# Parts of segments up to this many characters are searched together, longer ones one by one.
+TOGETHER = 32
 BEST = 4
 SCHEMA = ("doc_id long, n_pieces int, ids array<int>, score double, "
           "others array<struct<score: double, changes: array<struct<at: int, n: int, ids: array<int>>>>>")
@@ -68,12 +70,46 @@ class Vocabulary:
             node[1:] = i, raw[i]
             self.joined.update(zip(piece, piece[1:]))
         self.longest = max(map(len, pieces))
+        self._number_nodes()
         inside = set("".join(p for p in pieces if len(p) > 1))
         alone = "".join(c for c in "\n\t\r\v\f" + LITERAL_MARK if c not in inside)
         self.segments = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+|[{alone}]")
         self.spelled = {i: p.replace(MARK, " ").encode() for p, i in pieces.items()}
         self.spelled |= {i: bytes([b]) for b, i in enumerate(self.bytes)}
 
+    def _number_nodes(self) -> None:
+        """The tree as arrays: nodes by number (0 where there is none, 1 the root), letters by code (0: in no piece)."""
+        letters = {c: k for k, c in enumerate(sorted(set("".join(c for pair in self.joined for c in pair)) | set(self.tree)), 1)}
+        self.letters, self.code_of = len(letters) + 1, np.zeros(0x110000, dtype=np.int32)
+        for c, k in letters.items():
+            self.code_of[ord(c)] = k
+        keys, children, ended, gains, todo = [], [], [-1, -1], [0.0, 0.0], [(1, self.tree)]
+        for number, following in todo:
+            for c, (rest, piece, gain) in following.items():
+                keys.append(number * self.letters + letters[c])
+                children.append(len(ended))
+                todo.append((len(ended), rest))
+                ended.append(piece)
+                gains.append(gain)
+        order = np.argsort(np.array(keys, dtype=np.int64))
+        # One more key than any that is asked for, so that every search ends at one.
+        self.step_keys = np.append(np.array(keys, dtype=np.int64)[order], np.iinfo(np.int64).max)
+        self.step_to = np.append(np.array(children, dtype=np.int64)[order], 0)
+        self.ended, self.gains = np.array(ended, dtype=np.int32), np.array(gains)
+        self.roots = self.following(np.ones(self.letters, dtype=np.int64), np.arange(self.letters))
+        self.pairs = np.sort(np.array([letters[a] * self.letters + letters[b] for a, b in self.joined] + [np.iinfo(np.int64).max]))
+        first, last = np.divmod(self.pairs[:-1], self.letters)
+        self.pair_to = np.append(np.where(self.roots[first] > 0, self.following(self.roots[first], last), 0), 0)
+
+    def following(self, nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The nodes reached from ``nodes`` by letters, 0 where there is none."""
+        asked = nodes * self.letters + codes
+        at = np.searchsorted(self.step_keys, asked)
+        return np.where(self.step_keys[at] == asked, self.step_to[at], 0)
+
+    def codes(self, text: str) -> np.ndarray:
+        return self.code_of[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)].astype(np.int64)
+
     def edges(self, segment: str, start: int) -> list[tuple[int, tuple[int, ...], float]]:
         """(end, ids, score) of the pieces that begin at ``start``; bytes where there is none."""
         found, following = [], self.tree
@@ -92,12 +128,6 @@ class Vocabulary:
         raw = MARK.encode() if c == LITERAL_MARK else c.encode("utf-8", "surrogateescape")
         return tuple(self.bytes[b] for b in raw)
 
-    def cut(self, segment: str) -> list[str]:
-        """The segment cut between neighbours that no piece joins."""
-        joined = self.joined
-        cuts = [k for k, pair in enumerate(zip(segment, segment[1:]), 1) if pair not in joined]
-        return [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
-
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
@@ -153,6 +183,96 @@ def viterbi(v: Vocabulary, segment: str) -> tuple[tuple[int, ...], float, float]
     return tuple(ids), first[n], first[n] - second[n]
 
 
+def viterbi_all(v: Vocabulary, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of many segments one after another, their numbers, scores and losses.
+
+    Segments are cut between neighbours that no piece joins; all walks through the tree take their steps
+    together; then all edges that leave the first position of a part are followed, all that leave
+    the second, and so on. Scores are the same sums in the same order, and ties go to the leftmost
+    start, as in ``viterbi``, which finds the parts that are long or spelled with bytes.
+    """
+    text = "".join(segments)
+    codes, last = v.codes(text), np.cumsum(np.fromiter(map(len, segments), dtype=np.int64, count=len(segments)))
+    asked = codes[:-1] * v.letters + codes[1:]
+    pair = np.searchsorted(v.pairs, asked)
+    apart = np.ones(len(codes) + 1, dtype=bool)
+    apart[1:-1] = v.pairs[pair] != asked
+    apart[last] = True
+    cuts = np.flatnonzero(apart)
+    begin, stop = cuts[:-1], cuts[1:]
+    number = np.repeat(np.arange(len(begin)), stop - begin)
+    # Walks of one step, of two by the pairs, and on; those in long parts end after the first.
+    short = stop - begin <= TOGETHER
+    at, nodes, single = np.arange(len(codes)), v.roots[codes], np.zeros(len(codes), dtype=bool)
+    ends = stop[number]
+    found: list[tuple] = []
+    for size in range(1, v.longest + 1):
+        alive = nodes > 0
+        at, nodes = at[alive], nodes[alive]
+        whole = v.ended[nodes] >= 0
+        found.append((at[whole], size, nodes[whole]))
+        if size == 1:
+            single[at[whole]] = True
+            at = np.flatnonzero(~apart[1:] & short[number])
+            nodes = v.pair_to[pair[at]]
+            continue
+        going = at + size < ends[at]
+        at, nodes = at[going], nodes[going]
+        if not len(at):
+            break
+        nodes = v.following(nodes, codes[at + size])
+    alone = np.flatnonzero(~single)
+    start = np.concatenate([f[0] for f in found] + [alone])
+    end = np.concatenate([f[0] + f[1] for f in found] + [alone + 1])
+    piece = np.concatenate([v.ended[f[2]] for f in found] + [np.full(len(alone), -1, dtype=np.int32)])
+    gain = np.concatenate([v.gains[f[2]] for f in found] + [np.full(len(alone), v.unknown)])
+    place = np.minimum(start - begin[number[start]], TOGETHER).astype(np.int8)
+    order = np.argsort(place, kind="stable")
+    bounds = np.cumsum(np.bincount(place))[:TOGETHER].tolist()
+    # A part has one position more than characters.
+    start, end, piece, gain = (x[order] for x in (start + number[start], end + number[start], piece, gain))
+    first = np.full(len(codes) + len(begin), -np.inf)
+    second, came = first.copy(), np.zeros(len(first), dtype=np.int64)
+    begins, finals = begin + np.arange(len(begin)), stop + np.arange(len(begin))
+    first[begins] = 0.0
+    for a, b in zip([0, *bounds], bounds):
+        # Edges that leave the same position of a part have different ends.
+        s, e, g = start[a:b], end[a:b], gain[a:b]
+        total, other, best = first[s] + g, second[s] + g, first[e]
+        better = total > best
+        second[e] = np.where(better, np.maximum(best, other), np.maximum(second[e], total))
+        first[e] = np.maximum(best, total)
+        came[e[better]] = np.flatnonzero(better) + a
+    taken = np.zeros(len(first), dtype=np.int64)  # the edge on the best path that ends at a position, and one
+    at, floor = finals[short], begins[short]
+    while len(at):
+        edge = came[at]
+        taken[at] = edge + 1
+        at = start[edge]
+        going = at > floor
+        at, floor = at[going], floor[going]
+    places = np.flatnonzero(taken)
+    ids, of = piece[taken[places] - 1], np.repeat(np.arange(len(begin)), stop - begin + 1)[places]
+    counts, scores = np.bincount(of, minlength=len(begin)), first[finals]
+    with np.errstate(invalid="ignore"):
+        losses = scores - second[finals]
+    alone = ~short
+    alone[of[ids < 0]] = True
+    if alone.any():
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        for k in np.flatnonzero(alone).tolist():
+            best, scores[k], losses[k] = viterbi(v, text[begin[k]:stop[k]])
+            parts[k] = np.array(best, dtype=np.int32)
+            counts[k] = len(best)
+        ids = np.concatenate(parts)
+    until = np.searchsorted(cuts, last)
+    head = np.append(0, until[:-1])
+    total = scores[head]
+    for k in np.flatnonzero(until - head > 1).tolist():
+        total[k] = sum(scores[head[k]:until[k]].tolist())
+    return ids, np.add.reduceat(counts, head), total, np.minimum.reduceat(losses, head)
+
+
 def forward_scores(v: Vocabulary, segment: str) -> tuple[list[float], list[list]]:
     """Best score up to every position, and the edges that end there."""
     n = len(segment)
@@ -203,12 +323,12 @@ def _others(v: Vocabulary, segments: list[str], loss: np.ndarray, starts: np.nda
     k = min(n - 1, int(np.isfinite(loss).sum()))
     if k <= 0:
         return []
-    chosen = np.sort(np.lexsort((np.arange(len(loss)), loss))[:k]).tolist()
+    chosen = np.sort(np.argsort(loss, kind="stable")[:k]).tolist()
     lists = []
     for i in chosen:
         known = memo.get((segments[i], n))
         if known is None:
-            if len(memo) >= MEMO // 4:
+            if len(memo) >= MEMO // 8:
                 memo.clear()
             known = memo[segments[i], n] = list(segment_best(v, segments[i], n))
         lists.append(known)
@@ -229,52 +349,72 @@ def _others(v: Vocabulary, segments: list[str], loss: np.ndarray, starts: np.nda
 
 
 class Encoder:
-    """Encodes texts; keeps the segments it met last in two generations of a memo."""
+    """Encodes texts; numbers the segments it met and keeps what was found for each."""
 
     def __init__(self, path: str):
         self.v = vocabulary(path)
-        self.young: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
         self.lists: dict[tuple[str, int], list] = {}
-
-    def _part(self, part: str) -> tuple[bytes, float, float]:
-        known = self.young.get(part) or self.old.get(part)
-        if known is None:
-            ids, score, loss = viterbi(self.v, part)
-            known = (array("i", ids).tobytes(), score, loss)
-        self._keep(part, known)
-        return known
-
-    def _keep(self, segment: str, known: tuple) -> None:
-        if len(self.young) >= MEMO:
-            self.old, self.young = self.young, {}
-        self.young[segment] = known
-
-    def _segment(self, segment: str) -> tuple[bytes, float, float]:
-        known = self.old.get(segment)
-        if known is None:
-            parts = self.v.cut(segment)
-            if len(parts) == 1:
-                return self._part(segment)
-            found = [self._part(p) for p in parts]
-            known = (b"".join([f[0] for f in found]), sum(f[1] for f in found), min(f[2] for f in found))
-        self._keep(segment, known)
-        return known
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.used = 0
+        self.ids = np.zeros(0, dtype=np.int32)
+        # First id, number of ids, score and loss of every segment.
+        self.begins, self.sizes, self.scores, self.losses = (np.zeros(0, dtype=t) for t in (int, int, float, float))
+
+    def _learn(self, segments: list[str]) -> None:
+        ids, sizes, scores, losses = viterbi_all(self.v, segments)
+        n, used = len(self.numbers), self.used
+        self.ids = _put(self.ids, used, ids)
+        self.begins = _put(self.begins, n, used + np.cumsum(sizes) - sizes)
+        self.sizes, self.scores, self.losses = (
+            _put(a, n, b) for a, b in ((self.sizes, sizes), (self.scores, scores), (self.losses, losses)))
+        self.numbers.update(zip(segments, range(n, n + len(segments))))
+        self.used += len(ids)
 
     def encode(self, text: bytes, n: int = BEST) -> tuple[np.ndarray, float, list]:
         """Ids of the best segmentation, its score, and the next ``n - 1`` as changes."""
-        if not text:
-            return np.zeros(0, dtype=np.int32), 0.0, []
-        written = text.decode("utf-8", "surrogateescape").replace(MARK, LITERAL_MARK)
-        segments = self.v.segments.findall(MARK + written.replace(" ", MARK))
-        found = list(map(self.young.get, segments))
-        if None in found:
-            found = [hit or self.young.get(s) or self._segment(s) for hit, s in zip(found, segments)]
-        parts, scores, losses = zip(*found)
-        ids = np.frombuffer(b"".join(parts), dtype=np.int32)
-        total, loss = math.fsum(scores), np.array(losses)
-        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
-        return ids, total, _others(self.v, segments, loss, np.cumsum(sizes) - sizes, total, n, self.lists)
+        return self.encode_all([text], n)[0]
+
+    def encode_all(self, texts: list[bytes], n: int = BEST) -> list[tuple[np.ndarray, float, list]]:
+        """``encode`` of many texts; the segments that are new in any of them are searched together."""
+        listed = []
+        for text in texts:
+            written = text.decode("utf-8", "surrogateescape").replace(MARK, LITERAL_MARK)
+            listed.append(self.v.segments.findall(MARK + written.replace(" ", MARK)) if text else [])
+        met = set().union(*listed)
+        new = met.difference(self.numbers)
+        if len(self.numbers) + len(new) > MEMO and self.numbers:
+            self._forget()
+            new = met
+        if new:
+            self._learn(list(new))
+        counts = [len(segments) for segments in listed]
+        k = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(listed)), dtype=np.int64, count=sum(counts))
+        sizes, scores, losses = self.sizes[k], self.scores[k], self.losses[k]
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        ids = self.ids[np.repeat(self.begins[k] - starts, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        out, at = [], 0
+        for segments, count in zip(listed, counts):
+            if not count:
+                out.append((np.zeros(0, dtype=np.int32), 0.0, []))
+                continue
+            here = slice(at, at + count)
+            total, first = math.fsum(scores[here].tolist()), starts[at]
+            at += count
+            out.append((ids[first:ends[at - 1]], total,
+                        _others(self.v, segments, losses[here], starts[here] - first, total, n, self.lists)))
+        return out
+
+
+def _put(held: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
+    """``held`` with ``more`` from place ``n`` on; grows by half at least, so growing takes time in proportion."""
+    if n + len(more) > len(held):
+        held = np.concatenate((held[:n], np.empty(max(len(more), n // 2 + 1), dtype=held.dtype)))
+    held[n:n + len(more)] = more
+    return held
 
 
 def decode_ids(ids: list[int] | np.ndarray, path: str = MODEL) -> bytes:
@@ -309,8 +449,8 @@ def encode(docs: DataFrame, n: int = BEST, id_col: str = "doc_id", text_col: str
             ("score", pa.float64()), ("others", pa.list_(pa.struct([
                 ("score", pa.float64()), ("changes", pa.list_(pa.struct([
                     ("at", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])))])))])
-        for part in in_slices(batches, "text", 1 << 20):
-            found = [encoder.encode(t, n) for t in texts_of(part.column(1))]
+        for part in in_slices(batches, "text", 1 << 18):
+            found = encoder.encode_all(texts_of(part.column(1)), n)
             sizes = np.array([len(ids) for ids, _, _ in found], dtype=np.int32)
             offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
             flat = np.concatenate([ids for ids, _, _ in found])
