@@ -2,9 +2,55 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from tidemark.llm import sentence_pieces
+from tidemark.llm import maxent_lm, sentence_pieces
+
+
+# --- op1 ---------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("sizes", [[1, 2, 3, 40, 1, 17, 16, 300], [1] * 50, [500], [maxent_lm.LEVELS, maxent_lm.LEVELS + 1]])
+def test_sums_of_groups_are_those_of_their_rows(sizes):
+    draw = np.random.default_rng(5)
+    rows = draw.permutation(np.repeat(np.arange(len(sizes)), sizes))
+    values = draw.normal(size=(len(rows), 7)).astype(np.float32)
+    order = np.argsort(rows, kind="stable")
+    first = np.flatnonzero(np.diff(rows[order], prepend=-1))
+    got = maxent_lm._sum_groups(values, order, first, np.diff(first, append=len(order)))
+    for k in range(len(sizes)):
+        assert got[k] == pytest.approx(values[rows == k].astype(np.float64).sum(axis=0), abs=1e-3)
+
+
+def test_gradient_steps_make_no_sum_per_weight_row_and_column(monkeypatch):
+    """A reduction of the short groups one by one was most of op1's time."""
+    draw, groups = np.random.default_rng(2), []
+
+    class Add:
+        def reduceat(self, values, first, *rest, **named):
+            groups.append(len(first))
+            return np.add.reduceat(values, first, *rest, **named)
+
+    class Numpy:
+        add = Add()
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+    table = draw.normal(size=(maxent_lm.ROWS + 1, 64)).astype(np.float32)
+    rows = draw.integers(0, maxent_lm.ROWS, size=(4_000, maxent_lm.FEATURES))
+    target = draw.integers(0, 64, size=4_000)
+    speed, touched = np.zeros(len(table), dtype=np.float32), np.zeros(len(table), dtype=np.int64)
+    monkeypatch.setattr(maxent_lm, "np", Numpy())
+    maxent_lm._update(table, speed, touched, maxent_lm.ROWS, rows, target, 0.5)
+    assert touched.sum() == rows.size and sum(groups) < 100
+
+
+def test_softmax_of_any_width():
+    for width in (1, 2, 3, 5, 48, 64, 67):
+        logits = np.random.default_rng(width).normal(size=(20, width)) * 50
+        want = np.exp(logits - logits.max(axis=1, keepdims=True))
+        assert maxent_lm._softmax(logits.copy()) == pytest.approx(want / want.sum(axis=1, keepdims=True))
 
 
 # --- op2 ---------------------------------------------------------------------------------

@@ -15,7 +15,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,8 @@ STEP_TOKENS = 8192
 ROUNDS = 3
 RATE = 0.5
 FLUSH = 300_000
+# Sums per weight row take so many gradients one by one over all rows together, the rest row by row.
+LEVELS = 16
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -111,7 +113,7 @@ class Reader:
         words = [tokens(t) for t in texts]
         sizes = np.array([len(w) for w in words], dtype=np.int64)
         flat = list(chain.from_iterable(words))
-        index = np.array([*map(self.index.get, flat, [-1] * len(flat))], dtype=np.int64)
+        index = np.fromiter(map(self.index.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
         ids = self.out[index]
         missing = np.flatnonzero(index < 0)
         rare = [flat[i] for i in missing.tolist()]
@@ -156,16 +158,44 @@ def context_features(ids: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+    # The maximum by halves of the columns: a reduction of many short rows is slow.
+    most, width = logits, logits.shape[1]
+    while width > 3:
+        half = width // 2
+        most, width = np.maximum(most[:, :width - half], most[:, half:width]), width - half
+    logits -= most[:, :width].max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
     logits /= logits.sum(axis=1, keepdims=True)
     return logits
 
 
 def _sum_rows(table: np.ndarray, bias: np.ndarray | int, rows: np.ndarray) -> np.ndarray:
-    out = table[rows[:, 0]] + table[bias]
+    out = table.take(rows[:, 0], axis=0)
+    out += table[bias] if isinstance(bias, int) else table.take(bias, axis=0)
     for k in range(1, rows.shape[1]):
-        out += table[rows[:, k]]
+        out += table.take(rows[:, k], axis=0)
+    return out
+
+
+def _sum_groups(values: np.ndarray, order: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` taken in ``order``, for groups that begin at ``first``, each added in that order.
+
+    Most groups are small: all of them take their second member together, those of three or
+    more their third, and so on; what is left of the few large ones is added group by group.
+    """
+    by_size = np.argsort(-sizes, kind="stable")
+    starts, sizes = first[by_size], sizes[by_size]
+    at_least = np.searchsorted(-sizes, -np.arange(2, LEVELS + 2), side="right").tolist()
+    sums = values.take(order[starts], axis=0)
+    for level, n in enumerate(at_least[:-1], 1):
+        if not n:
+            break
+        sums[:n] += values.take(order[starts[:n] + level], axis=0)
+    for k in range(at_least[-1]):
+        rest = order[starts[k] + LEVELS:starts[k] + sizes[k]]
+        sums[k] += values.take(rest, axis=0).sum(axis=0)
+    out = np.empty_like(sums)
+    out[by_size] = sums
     return out
 
 
@@ -206,14 +236,16 @@ def _update(table: np.ndarray, speed: np.ndarray, touched: np.ndarray, bias, row
         sorted_rows = rows[order, k]
         first = np.flatnonzero(np.diff(sorted_rows, prepend=-1))
         at = sorted_rows[first]
-        slope = np.add.reduceat(error[order], first, axis=0)
-        speed[at] += (slope * slope).sum(axis=1)
-        table[at] -= (rate / np.sqrt(speed[at] + 1))[:, None] * slope
-        touched[at] += np.diff(first, append=len(order))
+        sizes = np.diff(first, append=len(order))
+        slope = _sum_groups(error, order, first, sizes)
+        speed[at] += np.einsum("ij,ij->i", slope, slope)
+        slope *= (rate / np.sqrt(speed[at] + 1))[:, None]
+        table[at] = table.take(at, axis=0) - slope
+        touched[at] += sizes
 
 
-def train_share(weights: dict, shares: Iterator[tuple[np.ndarray, np.ndarray]], rate: float):
-    """Gradient updates over one share; yields (table, row, weight, change) of the rows it met."""
+def train_tables(weights: dict, shares: Iterator[tuple[np.ndarray, np.ndarray]], rate: float):
+    """Gradient updates over one share; yields (table, rows, weights, changes) of the rows each table met."""
     start = weights
     own = {k: v.copy() for k, v in start.items()}
     speed = {k: np.zeros(len(v), dtype=np.float32) for k, v in own.items()}
@@ -224,24 +256,49 @@ def train_share(weights: dict, shares: Iterator[tuple[np.ndarray, np.ndarray]],
             if len(inside):
                 _update(own["words"], speed["words"], touched["words"], bias, word_rows, word, rate)
     for number, name in enumerate(("classes", "words")):
-        for row in np.flatnonzero(touched[name]).tolist():
-            yield number, row, float(touched[name][row]), (own[name][row] - start[name][row])
+        met = np.flatnonzero(touched[name])
+        yield number, met, touched[name][met].astype(np.float64), own[name][met] - start[name][met]
+
+
+def train_share(weights: dict, shares: Iterator[tuple[np.ndarray, np.ndarray]], rate: float):
+    """``train_tables`` row by row: (table, row, weight, change)."""
+    for number, rows, times, changes in train_tables(weights, shares, rate):
+        for row, weight, change in zip(rows.tolist(), times.tolist(), changes):
+            yield number, row, weight, change
+
+
+def _packed(rows: np.ndarray) -> pa.Array:
+    """One binary value per row of a matrix."""
+    width = rows.itemsize * rows.shape[1]
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * width
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows.tobytes())])
 
 
 def _averaged(changes: DataFrame) -> DataFrame:
     """Mean change per weight row, weighted by how often tasks met it; bounded by the model."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, int], list] = {}
+        weights = [np.zeros(ROWS + 1), np.zeros(ROWS + CLASSES)]
+        sums = [np.zeros((len(w), n), dtype=np.float32) for w, n in zip(weights, (OUT, WORDS_PER_CLASS))]
         for batch in batches:
-            for t, row, weight, data in zip(*(c.to_pylist() for c in batch.columns)):
-                change = np.frombuffer(data, dtype=np.float16).astype(np.float32) * weight
-                held = sums.setdefault((t, row), [0.0, np.zeros_like(change)])
-                held[0] += weight
-                held[1] += change
-        yield pa.RecordBatch.from_arrays([
-            pa.array([t for t, _ in sums], pa.int32()), pa.array([r for _, r in sums], pa.int32()),
-            pa.array([(s / w).astype(np.float32).tobytes() for w, s in sums.values()], pa.binary())],
-            names=["t", "row", "data"])
+            t, row, weight = (batch.column(k).to_numpy() for k in range(3))
+            for number, (held, total) in enumerate(zip(weights, sums)):
+                here = np.flatnonzero(t == number)
+                if not len(here):
+                    continue
+                data = b"".join(batch.column(3).take(pa.array(here)).to_pylist())
+                change = np.frombuffer(data, dtype=np.float16).reshape(len(here), -1).astype(np.float32)
+                change *= weight[here, None].astype(np.float32)
+                # Of a row's changes in this batch one after another, as of many rows of one task at once.
+                order = np.argsort(row[here], kind="stable")
+                first = np.flatnonzero(np.diff(row[here][order], prepend=-1))
+                at, sizes = row[here][order[first]], np.diff(first, append=len(order))
+                held[at] += np.add.reduceat(weight[here][order], first)
+                total[at] += _sum_groups(change, order, first, sizes)
+        for number, (held, total) in enumerate(zip(weights, sums)):
+            met = np.flatnonzero(held)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(met), number, dtype=np.int32)), pa.array(met.astype(np.int32)),
+                _packed((total[met] / held[met, None]).astype(np.float32))], names=["t", "row", "data"])
 
     return changes.repartition("t", "row").mapInArrow(run, "t int, row int, data binary")
 
@@ -263,13 +320,13 @@ def train(docs: DataFrame, vocab, rounds: int = ROUNDS, rate: float = RATE, id_c
                     ids, place, *_ = reader.read(texts_of(part.column(0)))
                     yield ids, place
 
-            found = list(train_share(shared.value, read(), rate))
-            for s in range(0, len(found), 4096):
-                t, row, weight, change = zip(*found[s:s + 4096])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(t, pa.int32()), pa.array(row, pa.int32()), pa.array(weight, pa.float64()),
-                    pa.array([c.astype(np.float16).tobytes() for c in change], pa.binary())],
-                    names=["t", "row", "weight", "data"])
+            for t, rows, weight, change in train_tables(shared.value, read(), rate):
+                for s in range(0, len(rows), 4096):
+                    here = slice(s, s + 4096)
+                    met = rows[here].astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(met), t, dtype=np.int32)), pa.array(met), pa.array(weight[here]),
+                        _packed(change[here].astype(np.float16))], names=["t", "row", "weight", "data"])
 
         part = docs.where(share == number).select(F.col(text_col).alias("text"))
         changes = part.mapInArrow(run, "t int, row int, weight double, data binary")
