@@ -38,8 +38,8 @@ STEP_TOKENS = 8192
 ROUNDS = 3
 RATE = 0.5
 FLUSH = 300_000
-# Sums per weight row take so many gradients one by one over all rows together, the rest row by row.
-LEVELS = 16
+# Up to this size groups of gradients are summed together, larger ones each by itself.
+LEVELS = 8
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -178,24 +178,29 @@ def _sum_rows(table: np.ndarray, bias: np.ndarray | int, rows: np.ndarray) -> np
 
 
 def _sum_groups(values: np.ndarray, order: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sums of ``values`` taken in ``order``, for groups that begin at ``first``, each added in that order.
+    """``np.add.reduceat(values[order], first)`` for groups that begin at ``first``, to the last bit.
 
-    Most groups are small: all of them take their second member together, those of three or
-    more their third, and so on; what is left of the few large ones is added group by group.
+    It adds the sum of the others to the first member, and others below eight one by one. Most groups
+    are that small: all of them take their third member together, those of four or more their
+    fourth, and so on; only the few large ones go through the reduction, column by column.
     """
     by_size = np.argsort(-sizes, kind="stable")
-    starts, sizes = first[by_size], sizes[by_size]
-    at_least = np.searchsorted(-sizes, -np.arange(2, LEVELS + 2), side="right").tolist()
-    sums = values.take(order[starts], axis=0)
-    for level, n in enumerate(at_least[:-1], 1):
-        if not n:
-            break
-        sums[:n] += values.take(order[starts[:n] + level], axis=0)
-    for k in range(at_least[-1]):
-        rest = order[starts[k] + LEVELS:starts[k] + sizes[k]]
-        sums[k] += values.take(rest, axis=0).sum(axis=0)
-    out = np.empty_like(sums)
-    out[by_size] = sums
+    starts, negative = first[by_size], -sizes[by_size]
+    large, *at_least = np.searchsorted(negative, -np.array([LEVELS + 1, *range(2, LEVELS + 1)]), side="right").tolist()
+    out = np.empty((len(first), values.shape[1]), dtype=values.dtype)
+    out[by_size] = values.take(order[starts], axis=0)
+    if at_least[0] > large:
+        rest = values.take(order[starts[large:at_least[0]] + 1], axis=0)
+        for level, n in enumerate(at_least[1:], 2):
+            if n <= large:
+                break
+            rest[:n - large] += values.take(order[starts[large:n] + level], axis=0)
+        out[by_size[large:at_least[0]]] += rest
+    if large:
+        counts = -negative[:large]
+        begins = np.cumsum(counts) - counts
+        members = np.repeat(starts[:large] - begins, counts) + np.arange(counts.sum())
+        out[by_size[:large]] = np.add.reduceat(values.take(order[members], axis=0), begins, axis=0)
     return out
 
 
@@ -238,7 +243,7 @@ def _update(table: np.ndarray, speed: np.ndarray, touched: np.ndarray, bias, row
         at = sorted_rows[first]
         sizes = np.diff(first, append=len(order))
         slope = _sum_groups(error, order, first, sizes)
-        speed[at] += np.einsum("ij,ij->i", slope, slope)
+        speed[at] += (slope * slope).sum(axis=1)
         slope *= (rate / np.sqrt(speed[at] + 1))[:, None]
         table[at] = table.take(at, axis=0) - slope
         touched[at] += sizes
@@ -288,12 +293,14 @@ def _averaged(changes: DataFrame) -> DataFrame:
                 data = b"".join(batch.column(3).take(pa.array(here)).to_pylist())
                 change = np.frombuffer(data, dtype=np.float16).reshape(len(here), -1).astype(np.float32)
                 change *= weight[here, None].astype(np.float32)
-                # Of a row's changes in this batch one after another, as of many rows of one task at once.
+                # A row has one change from each task: all first ones are added together, then all second ones.
                 order = np.argsort(row[here], kind="stable")
                 first = np.flatnonzero(np.diff(row[here][order], prepend=-1))
-                at, sizes = row[here][order[first]], np.diff(first, append=len(order))
-                held[at] += np.add.reduceat(weight[here][order], first)
-                total[at] += _sum_groups(change, order, first, sizes)
+                sizes = np.diff(first, append=len(order))
+                for level in range(sizes.max()):
+                    member = order[first[sizes > level] + level]
+                    held[row[here[member]]] += weight[here[member]]
+                    total[row[here[member]]] += change[member]
         for number, (held, total) in enumerate(zip(weights, sums)):
             met = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([
