@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from tidemark.llm import maxent_lm, sentence_pieces
+from tidemark.llm import maxent_lm, sentence_pieces, simhash_dedup, substring_dedup
 
 
 # --- op1 ---------------------------------------------------------------------------------
@@ -95,3 +95,45 @@ def test_slices_and_a_full_memo_change_nothing(monkeypatch, memo):
     encoder = sentence_pieces.Encoder(sentence_pieces.MODEL)
     together = [found for at in range(0, len(texts), 7) for found in encoder.encode_all(texts[at:at + 7])][::10]
     assert [(i.tolist(), s, o) for i, s, o in alone] == [(i.tolist(), s, o) for i, s, o in together]
+
+
+# --- pipeline ------------------------------------------------------------------------------
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_near_duplicates_deal_texts_by_id_once(spark, no_broadcast):
+    draw = random.Random(4)
+    rows = [(i, " ".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=60))) for i in range(40)]
+    rows += [(100 + i, text) for i, text in rows[:10]] + [(None, "no id")]
+    got = simhash_dedup.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    # One exchange of the texts and one of the ids.
+    assert _plan(got).count("Exchange hashpartitioning") == 2 and "Window" not in _plan(got)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([*rows[:40], (None, "no id")], key=str)
+
+
+def test_near_duplicates_of_repeated_ids_keep_the_smallest_text(spark):
+    draw = random.Random(5)
+    one, two, three = (" ".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=60)) for _ in range(3))
+    rows = [(1, one), (1, two), (1, one), (2, one), (3, three), (3, three)]
+    got = simhash_dedup.keep_first(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == [(1, min(one, two)), (3, three)]
+
+
+def test_repeated_passages_are_cut_without_dealing_texts(spark, no_broadcast):
+    draw = random.Random(6)
+    own = [" ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(80)) for _ in range(4)]
+    rows = [(1, own[0]), (2, own[1] + "  " + own[0]), (3, own[2]), (4, own[2]), (None, own[3]), (5, None)]
+    got = substring_dedup.remove(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert "Exchange hashpartitioning" not in _plan(got)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, own[0]), (2, own[1] + "  "), (3, own[2]), (None, own[3]), (5, None)], key=str)

@@ -251,10 +251,18 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     without id keeps them, since they cannot be told apart.
     """
     found = near_duplicates(docs, id_col, text_col, width, distance)
-    first = found.where("component_id = doc_id OR component_id IS NULL").select("doc_id", "fingerprint").distinct()
+    stays = F.max(F.expr("component_id = doc_id OR component_id IS NULL"))
+    ids = found.groupBy("doc_id").agg(stays.alias("stays"), F.count("*").alias("n")).where("stays")
+    ids = stored(ids.select("doc_id", (F.col("n") > 1).alias("again")), "kept-ids")
     packed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_id"),
                          F.col(text_col).alias("_text"))
-    stay = packed.join(first.select("doc_id").distinct(), F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
+
+    def held(which: str) -> DataFrame:
+        return packed.join(ids.where(which), F.col("_id").eqNullSafe(F.col("doc_id")), "left_semi")
+
+    # Texts are dealt by id once at most; only rows that repeat an id are compared by text after that.
+    if ids.where("again AND doc_id IS NOT NULL").isEmpty():
+        return held("true").select("_row.*")
     again = Window.partitionBy("_id").orderBy("_text")
-    numbered = stay.where("_id IS NOT NULL").withColumn("_n", F.row_number().over(again)).where("_n = 1")
-    return numbered.select("_row.*").unionByName(stay.where("_id IS NULL").select("_row.*"))
+    numbered = held("again AND doc_id IS NOT NULL").withColumn("_n", F.row_number().over(again)).where("_n = 1")
+    return numbered.select("_row.*").unionByName(held("NOT again OR doc_id IS NULL").select("_row.*"))
