@@ -157,18 +157,30 @@ def context_features(ids: np.ndarray, place: np.ndarray) -> np.ndarray:
     return np.stack([one, size + two, 2 * size + one * size + two, (2 + size) * size + one * size + three], axis=1)
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
+def _numerators(logits: np.ndarray) -> np.ndarray:
+    """Of the softmax, in place."""
     # The maximum by halves of the columns: a reduction of many short rows is slow.
     most, width = logits, logits.shape[1]
     while width > 3:
         half = width // 2
         most, width = np.maximum(most[:, :width - half], most[:, half:width]), width - half
     logits -= most[:, :width].max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
+    return np.exp(logits, out=logits)
+
+
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    logits = _numerators(logits)
     logits /= logits.sum(axis=1, keepdims=True)
     return logits
 
 
+def _log_target(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Natural log of the softmax at one target per row; the others are not divided."""
+    top = _numerators(logits)
+    chosen = top[np.arange(len(target)), target] / top.sum(axis=1)
+    return np.log(chosen.astype(np.float64) + 1e-30)
+
+
 def _sum_rows(table: np.ndarray, bias: np.ndarray | int, rows: np.ndarray) -> np.ndarray:
     out = table.take(rows[:, 0], axis=0)
     out += table[bias] if isinstance(bias, int) else table.take(bias, axis=0)
@@ -222,11 +234,9 @@ def log_probabilities(weights: dict, ids: np.ndarray, place: np.ndarray) -> np.n
     """Natural log of each token's class, and of frequent words in their class."""
     out = np.empty(len(ids))
     for part, classes, rows, inside, word, bias, word_rows in _steps(ids, place):
-        p = _softmax(_sum_rows(weights["classes"], ROWS, rows))
-        value = np.log(p[np.arange(len(classes)), classes].astype(np.float64) + 1e-30)
+        value = _log_target(_sum_rows(weights["classes"], ROWS, rows), classes)
         if len(inside):
-            q = _softmax(_sum_rows(weights["words"], bias, word_rows))
-            value[inside] += np.log(q[np.arange(len(inside)), word].astype(np.float64) + 1e-30)
+            value[inside] += _log_target(_sum_rows(weights["words"], bias, word_rows), word)
         out[part] = value
     return out
 
