@@ -16,7 +16,7 @@ from tidemark.operators import (
     analytics, audit, consolidate, extraction, identity, links, merge, publishing, replay, rule_table,
 )
 from tidemark.plans import inputs, run
-from tidemark.session import shared_folder, stored
+from tidemark.session import shared_folder, small_files, stored
 from tidemark.sources import page_files as raw_pages
 from tidemark.sources import published, tables
 from tidemark.sources.history_store import HistoryStore
@@ -246,14 +246,13 @@ def page_files(spark, folder):
     broken = F.concat(F.encode(html, "UTF-8"), F.unhex(F.lit("FF")))
     kind = F.col("page_id") % 3
     content = F.when(kind == 0, F.encode(html, "UTF-8")).when(kind == 1, stated).otherwise(broken)
-    # Every page is a file, so the tasks that write share the pages, however few files the table has.
-    made = pages(spark, folder).select("page_id", content.cast("string").alias("value")).repartition("page_id")
-    made.write.partitionBy("page_id").text(path)
-    found = stored(raw_pages.decoded_files(raw_pages.page_files(spark, path, "*.txt"), ["page_id"]), "decoded")
-    good = raw_pages.pages_of(found).select(
-        F.col("page_id").cast("long").alias("page_id"), "charset", F.sha1(F.rtrim("html", F.lit("\n"))).alias("found"))
+    raw_pages.write_page_files(pages(spark, folder).select("page_id", content.alias("content")), path, "page_id", "content")
+    files = raw_pages.page_files(spark, path, "*.txt").select("content", raw_pages.key_of_file("page_id"))
+    with small_files(spark):
+        found = stored(raw_pages.decoded_files(files, ["page_id"]), "decoded")
+    good = raw_pages.pages_of(found).select("page_id", "charset", F.sha1(F.rtrim("html", F.lit("\n"))).alias("found"))
     return good.union(raw_pages.rejected_files(found).select(
-        F.col("page_id").cast("long"), "charset", F.regexp_replace("problem", ", byte .*", "")))
+        "page_id", "charset", F.regexp_replace("problem", ", byte .*", "")))
 
 
 # --- history ----------------------------------------------------------------

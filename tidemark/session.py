@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,18 @@ def bounded_batches(spark: SparkSession, most: str = "4m") -> None:
         spark.conf.set(BATCH_BYTES, most)
 
 
+@contextmanager
+def small_files(spark: SparkSession, cost: str = "64k") -> Iterator[None]:
+    """Plans that run within pack small files: Spark counts each as four megabytes, so a task would get thirty."""
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, cost)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
 
