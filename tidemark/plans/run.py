@@ -16,6 +16,7 @@ from tidemark.operators.consolidate import consolidate_parts
 from tidemark.operators.identity import require_unique
 from tidemark.operators.publishing import min_table, with_markdown
 from tidemark.schema import LICENSE_TEXT, PROGRAM_SCHEMA, WATCHED_FIELDS
+from tidemark.session import release_shuffles
 from tidemark.sources.history_store import HistoryStore, State
 from tidemark.sources.published import Publication, publish_min, write_parquet
 
@@ -74,7 +75,8 @@ def load_run(pages: DataFrame, store: HistoryStore, run: int, run_at: datetime,
 
     What a run sets aside is kept beside it: ``rejected`` records, page ``issues`` and
     ``repeated`` keys are tables of the run (``run_report`` reads them). Their numbers stand in
-    the commit (``run_counts``): pages are counted by the pass that writes the records.
+    the commit (``run_counts``): pages are counted by the pass that writes the records. The
+    records as extracted go once the run is committed.
     """
     state = state or store.state()
     if any(row.run == run for row in state.commits):
@@ -86,9 +88,12 @@ def load_run(pages: DataFrame, store: HistoryStore, run: int, run_at: datetime,
     found = split(checked, repeated)
     store.materialise(found.rejected, "rejected", run)
     store.materialise(found.issues, "issues", run)
-    return store.merge(found.records, run, run_at, mode=mode, watched=WATCHED_FIELDS,
-                       staged=True, source=source, batch=batch, state=state,
-                       counts={**counted.get, "repeated": repeated.count()})
+    merged = store.merge(found.records, run, run_at, mode=mode, watched=WATCHED_FIELDS,
+                         staged=True, source=source, batch=batch, state=state,
+                         counts={**counted.get, "repeated": repeated.count()})
+    store.clear(run, "extracted")
+    release_shuffles(store.spark)
+    return merged
 
 
 def run_counts(store: HistoryStore) -> DataFrame:
@@ -120,6 +125,7 @@ def publish_history(store: HistoryStore, folder: str) -> DataFrame:
     state = store.state()
     publication = Publication.begin(store.spark, folder, state.last)
     write_parquet(consolidate_parts(store.active(), store.retired(), columns), publication.path("data.parquet"))
+    release_shuffles(store.spark)
     full = store.spark.read.parquet(publication.path("data.parquet"))
     require_unique(full).agg(F.count("*")).collect()
     publish_min(with_markdown(min_table(full)), publication.root, LICENSE_TEXT)

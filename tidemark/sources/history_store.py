@@ -8,7 +8,7 @@
     bases/run=N                   one row per bucket of a base, written after it
     folded/run=N                  copies of all commits up to run N, so that few files are read
     layout                        number of buckets, fixed by the first run
-    staged/run=N, changes/run=N and others: what a run writes on its way
+    staged/run=N, changes/run=N and others: what a run writes on its way, gone once it is committed
 
 A key's rows all lie in the bucket of its hash, so a partial run reads and joins the buckets
 of its own keys only, and a repair writes anew only those that it changes. A run writes in
@@ -33,7 +33,7 @@ from tidemark.operators.audit import drop_duplicate_versions, duplicate_versions
 from tidemark.operators.merge import PARTIAL, plan_changes
 from tidemark.operators.replay import continue_history
 from tidemark.schema import VERSION_COLUMNS, VERSION_SCHEMA, VersionColumns
-from tidemark.session import folder_names
+from tidemark.session import CODEC, folder_names, remove_folder
 
 BUCKETS = 32
 # A stream compacts once this many runs, and this share of the base in rows, lie beside it;
@@ -146,7 +146,8 @@ class HistoryStore:
             if len(buckets) < self.buckets:
                 part = part.where(F.col("bucket").isin(sorted(buckets)))
             found = part if found is None else found.unionByName(part)
-        return self.spark.createDataFrame([], schema) if found is None else found
+        # Spark knows that no row passes, so what meets this is not shuffled for it.
+        return self.spark.createDataFrame([], schema).where(F.lit(False)) if found is None else found
 
     def _closing_schema(self) -> T.StructType:
         names = self.names
@@ -198,15 +199,20 @@ class HistoryStore:
     # --- writing ----------------------------------------------------------------------------
 
     def work_path(self, name: str, run: int) -> str:
-        """Folder for what a run writes on its way; replaced when the run is repeated."""
+        """Folder for what a run writes on its way or reports; replaced when the run is repeated."""
         return f"{self.root}/{name}/run={run}"
 
     def materialise(self, frame: DataFrame, name: str, run: int) -> DataFrame:
         """Writes an intermediate table and reads it back: computed once, of known size."""
         path = self.work_path(name, run)
-        frame.write.mode("overwrite").parquet(path)
+        frame.write.mode("overwrite").option("compression", CODEC).parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def clear(self, run: int, *names: str) -> None:
+        """Removes what a committed run wrote on its way and nobody reads again."""
+        for name in names:
+            remove_folder(self.spark, self.work_path(name, run))
+
     def _bucketed(self, frame: DataFrame, folder: str, *within: str) -> DataFrame:
         """Writes rows below their buckets, sorted by key; large buckets are dealt to several tasks."""
         tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -214,7 +220,7 @@ class HistoryStore:
         path, into = f"{self.root}/{folder}", [*within, "bucket"]
         rows = frame.withColumn("bucket", self.bucket_of())
         (rows.repartition(*into, share).sortWithinPartitions(*into, self.names.key)
-         .write.mode("overwrite").partitionBy(*into).parquet(path))
+         .write.mode("overwrite").option("compression", CODEC).partitionBy(*into).parquet(path))
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def _mark(self, name: str, folder: str, rows: list, schema: str) -> None:
@@ -277,6 +283,7 @@ class HistoryStore:
             active.select(names.key, names.load).join(closing, names.key, "left_semi")
             .withColumn(names.valid_to, at).select(*self._closing_schema().fieldNames()), f"closed/run={run}")
         self._commit(run, run_at, mode, fields, source, batch, opened.count(), closed.count(), counts)
+        self.clear(run, "changes", *() if staged else ("staged",))
         return True
 
     def _commit(self, run: int, *values) -> None:
@@ -316,6 +323,7 @@ class HistoryStore:
         closed = self._bucketed(found.where(F.col(names.valid_to).isNotNull()).select(
             *self._closing_schema().fieldNames()), f"closed/run={last}")
         self._commit(last, last_at, REPLAY, fields, None, None, opened.count(), closed.count(), None)
+        self.clear(last, "changes", "staged")
         return True
 
     def _rebase(self, run: int, folder: str, versions: DataFrame, buckets: set[int]) -> None:
@@ -369,6 +377,7 @@ class HistoryStore:
             held = self.materialise(self._versions(state, buckets), "held", run)
             self._rebase(run, f"run={run}-part", drop_duplicate_versions(held, names), buckets)
             self._commit(run, run_at, REPAIR, state.watched, None, None, 0, 0, None)
+            self.clear(run, "held")
         return buckets
 
     def rewatch(self, run: int, run_at: datetime, watched: Sequence[str],

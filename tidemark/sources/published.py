@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.publishing import flat_lists
-from tidemark.session import folder_names
+from tidemark.session import CODEC, folder_names
 
 _SHOWN = "no long, run long, publication string, rows long"
 
@@ -24,7 +24,7 @@ def replace_table(df: DataFrame, path: str) -> None:
 
 def write_parquet(df: DataFrame, path: str) -> None:
     """Lists stay lists."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", CODEC).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
